@@ -3,6 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from kinora.session import shared_dir
+
 
 def top_k(df, keys, order, k, rank="rank"):
     """First k rows per key.
@@ -42,15 +44,16 @@ def top_unseen(requests, prefix, seen, order, k, first=None, growth=8):
     """Best k list entries per request that the user has not seen.  Exact for any history length.
 
     ``requests``: distinct (uid, list_key).  ``seen``: distinct (uid, item).
-    ``prefix(n)`` gives each list's first n entries as rows (list_key, item, ...) in the order
-    ``order``.  A short prefix answers nearly every request; requests that still miss entries while
+    ``prefix(n, keys)`` gives the first n entries of the lists in ``keys`` as rows (list_key, item,
+    ...) in the order ``order``.  A short prefix answers nearly every request; requests that still miss entries while
     their list goes on are asked again with a longer prefix, until none is left.
     """
+    shared_dir(requests.sparkSession)
     length = first or 3 * k
     done = []
     pending = requests
     while True:
-        entries = prefix(length)
+        entries = prefix(length, pending.select("list_key").distinct())
         sizes = entries.groupBy("list_key").agg(F.count(F.lit(1)).alias("length"))
         unseen = pending.join(entries, "list_key").join(seen, ["uid", "item"], "left_anti")
         # Reliable checkpoint: the result is read twice and cuts the lineage of further rounds.

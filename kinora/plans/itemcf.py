@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from kinora.operators.pairs import pair_products
 from kinora.operators.topk import to_nested
+from kinora.session import stored
 
 TOP_NEIGHBOURS = 10
 
@@ -11,13 +12,10 @@ TOP_NEIGHBOURS = 10
 def _inputs(ratings, distinct_users):
     # Pre-aggregation: repeated ratings of one user and movie become one weighted row.
     per_pair = ratings.groupBy("uid", "mid").agg(F.count(F.lit(1)).alias("n"))
+    per_pair = stored(ratings.sparkSession, per_pair, "item-weights")
     weight = F.lit(1) if distinct_users else F.col("n")
     rows = per_pair.select(F.col("uid").alias("g"), F.col("mid").alias("e"), weight.alias("w"))
-    if distinct_users:
-        counts = per_pair.groupBy("mid").agg(F.count(F.lit(1)).alias("scale"))
-    else:
-        counts = ratings.groupBy("mid").agg(F.count(F.lit(1)).alias("scale"))
-    return rows, counts.withColumnRenamed("mid", "e")
+    return rows, rows.groupBy("e").agg(F.sum("w").alias("scale"))
 
 
 def cooccurrence(ratings, distinct_users=False, **tuning):

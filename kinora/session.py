@@ -42,3 +42,14 @@ def shared_dir(spark):
 def scratch_path(spark, name):
     """A new path under the shared folder; never reused between runs."""
     return os.path.join(shared_dir(spark), "kinora", f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(spark, df, name):
+    """Write an intermediate result once to the shared folder and read it back.
+
+    Used where a result is read by several jobs: it survives the loss of executors, and later reads
+    prune columns.
+    """
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
