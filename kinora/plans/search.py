@@ -14,13 +14,11 @@ def _postings(tokens, key):
     return tokens.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def _with_idf(postings, docs):
-    """Adds idf = ln((N + 1) / (df + 1)) of each token; N is a one-row aggregate."""
-    total = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+def _idf(postings, docs):
+    """(token, idf) with idf = ln((N + 1) / (df + 1)); N is a scalar subquery."""
+    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs")).scalar()
     frequency = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    return frequency.join(F.broadcast(total)).select(
-        "token", F.ln((F.col("n_docs") + 1) / (F.col("df") + 1)).alias("idf")
-    )
+    return frequency.select("token", F.ln((n_docs + 1) / (F.col("df") + 1)).alias("idf"))
 
 
 def _ranked(scored, keys, k):
@@ -37,7 +35,7 @@ def keyword_search(docs, terms, max_edits=1, k=TOP_DOCS):
     hits = docs.select("doc_id", F.explode(F.filter(search_tokens(F.col("text")), near)).alias("token"))
     postings = _postings(hits, "doc_id")
     scored = (
-        postings.join(_with_idf(postings, docs), "token")
+        postings.join(_idf(postings, docs), "token")
         .groupBy("doc_id")
         .agg(F.sum(F.col("tf") * F.col("idf")).alias("score"))
     )
@@ -56,7 +54,7 @@ def more_like_this(seeds, docs, n_terms=TOP_TERMS, k=TOP_DOCS):
     vocabulary = seed_postings.select("token").distinct()
     tokens = docs.select("doc_id", F.explode(search_tokens(F.col("text"))).alias("token"))
     postings = _postings(tokens.join(vocabulary, "token", "left_semi"), "doc_id")
-    idf = _with_idf(postings, docs)
+    idf = _idf(postings, docs)
     weighted = seed_postings.join(idf, "token").select(
         "seed_id", "token", "idf", (F.col("tf") * F.col("idf")).alias("weight")
     )
