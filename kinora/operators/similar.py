@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from kinora.operators.topk import top_k
+from kinora.session import stored
 
 RANK_DIGITS = 9
 
@@ -24,6 +25,12 @@ class ItemSimilarity:
         self.pairs = pairs
         self.members = members
 
+    def store(self):
+        """Write the tables to the shared folder, for use by several jobs or micro-batches."""
+        spark = self.pairs.sparkSession
+        members = None if self.members is None else stored(spark, self.members, "similarity-members")
+        return ItemSimilarity(stored(spark, self.pairs, "similarity-pairs"), members)
+
     def with_group(self, df, item, group):
         """Add the list key of an item column; items unknown to the table drop out."""
         if self.members is None:

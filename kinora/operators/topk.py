@@ -43,7 +43,7 @@ def from_nested(df, key, recs="recs"):
 def top_unseen(requests, prefix, seen, order, k, first=None, growth=8):
     """Best k list entries per request that the user has not seen.  Exact for any history length.
 
-    ``requests``: distinct (uid, list_key).  ``seen``: distinct (uid, item).
+    ``requests``: distinct (uid, list_key).  ``seen``: (uid, item) rows.
     ``prefix(n, keys)`` gives the first n entries of the lists in ``keys`` as rows (list_key, item,
     ...) in the order ``order``.  A short prefix answers nearly every request; requests that still miss entries while
     their list goes on are asked again with a longer prefix, until none is left.

@@ -11,10 +11,11 @@ RANK_DIGITS = 9
 def popular_by_profile(profiles, ratings, attributes):
     """Rating count and mean per profile group and movie."""
     keyed = profiles.select("uid", F.concat_ws("|", *attributes).alias("list_key"))
+    per_user = ratings.groupBy("uid", "mid").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("total"))
     return (
-        ratings.join(keyed, "uid")
+        per_user.join(keyed, "uid")
         .groupBy("list_key", F.col("mid").alias("item"))
-        .agg(F.count(F.lit(1)).alias("n_ratings"), F.avg("score").alias("avg"))
+        .agg(F.sum("n").alias("n_ratings"), (F.sum("total") / F.sum("n")).alias("avg"))
     )
 
 
@@ -27,6 +28,6 @@ def recommend(profiles, ratings, attributes, k=TOP_ITEMS):
         return top_k(popular.join(keys, "list_key", "left_semi"), ["list_key"], order, n, rank="place").drop("place")
 
     requests = profiles.select("uid", F.concat_ws("|", *attributes).alias("list_key"))
-    seen = ratings.select("uid", F.col("mid").alias("item")).distinct()
+    seen = ratings.select("uid", F.col("mid").alias("item"))
     found = top_unseen(requests, prefix, seen, order, k)
     return found.select("uid", "rank", F.col("item").alias("mid"), "n_ratings", "avg")

@@ -15,13 +15,22 @@ MIN_SIMILARITY = 0.6
 GRID_RANKS = (50, 100, 200, 300)
 GRID_REGULARISATION = (0.01, 0.1, 1.0)
 SEED = 42
+MAX_FACTOR_BLOCKS = 1000
 
 
-def fit_als(ratings, rank=RANK, iterations=ITERATIONS, reg=REGULARISATION, seed=SEED):
-    shared_dir(ratings.sparkSession)
+def _factor_blocks(spark):
+    """Factor blocks follow the cluster's parallelism; Spark ML's own default is 10 whatever its size."""
+    return min(MAX_FACTOR_BLOCKS, max(10, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def fit_als(ratings, rank=RANK, iterations=ITERATIONS, reg=REGULARISATION, seed=SEED, blocks=None):
+    """Explicit-feedback ALS; repeated ratings count as separate observations."""
+    spark = ratings.sparkSession
+    shared_dir(spark)
+    blocks = blocks or _factor_blocks(spark)
     als = ALS(
         userCol="uid", itemCol="mid", ratingCol="score", rank=rank, maxIter=iterations,
-        regParam=reg, seed=seed, coldStartStrategy="drop",
+        regParam=reg, seed=seed, coldStartStrategy="drop", numUserBlocks=blocks, numItemBlocks=blocks,
     )
     return als.fit(ratings.select("uid", "mid", "score"))
 
@@ -52,7 +61,7 @@ def unseen_user_recs(model, ratings, k=TOP_PER_USER):
         flat = _flat(model.recommendForUserSubset(asked, n)).where(F.col("score") > 0)
         return flat.select(F.col("uid").alias("list_key"), F.col("mid").alias("item"), "score")
 
-    seen = ratings.select("uid", F.col("mid").alias("item")).distinct()
+    seen = ratings.select("uid", F.col("mid").alias("item"))
     order = [F.col("score").desc(), F.col("item").asc()]
     found = top_unseen(users, prefix, seen, order, k)
     return found.select("uid", "rank", F.col("item").alias("mid"), "score")

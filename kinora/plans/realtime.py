@@ -27,7 +27,7 @@ def newest_event(events):
 def candidates(triggers, similarity, seen, k=SIMILAR_MOVIES):
     """k most similar movies of each trigger (uid, mid) that the user has not rated.
 
-    ``seen``: distinct (uid, item).  Rated movies are left out before the cut.  Result:
+    ``seen``: (uid, item) rows.  Rated movies are left out before the cut.  Result:
     (uid, mid, rank, item, score).
     """
     keyed = similarity.with_group(triggers.select("uid", "mid").distinct(), "mid", "list_key")

@@ -394,7 +394,7 @@ def sim_matrix_flatten(spark, sf):
 
 
 def _seen(spark, sf):
-    return _ratings(spark, sf).select("uid", F.col("mid").alias("item")).distinct()
+    return _ratings(spark, sf).select("uid", F.col("mid").alias("item"))
 
 
 def _newest(spark, sf):
@@ -403,7 +403,7 @@ def _newest(spark, sf):
 
 @query
 def sim_candidates(spark, sf):
-    similarity = content.similarity(_movies(spark, sf))
+    similarity = content.similarity(_movies(spark, sf)).store()
     found = realtime.candidates(_newest(spark, sf), similarity, _seen(spark, sf))
     return found.select("uid", "mid", "rank", "item", _r6("score"))
 
@@ -414,13 +414,13 @@ def sim_candidates_flat(spark, sf):
     pairs = itemcf.neighbours(_ratings(spark, sf), k=50).select(
         F.col("mid1").alias("source"), F.col("mid2").alias("target"), "score"
     )
-    found = realtime.candidates(_newest(spark, sf), ItemSimilarity(pairs), _seen(spark, sf))
+    found = realtime.candidates(_newest(spark, sf), ItemSimilarity(pairs).store(), _seen(spark, sf))
     return found.select("uid", "mid", "rank", "item", _r6("score"))
 
 
 @query
 def realtime_scores(spark, sf):
-    similarity = content.similarity(_movies(spark, sf))
+    similarity = content.similarity(_movies(spark, sf)).store()
     found = realtime.candidates(_newest(spark, sf), similarity, _seen(spark, sf))
     recents = realtime.recent_ratings(fx.rating_events(spark, sf))
     scored = realtime.scores(found, recents, similarity)
@@ -432,7 +432,7 @@ def stream_recs_current(spark, sf):
     """Events through the streaming recommender; newest list per user."""
     events = fx.table(spark, sf, "events")
     stream = fx.events_as_ratings(streams.file_source(spark, f"{sf}/events*.parquet", events.schema))
-    similarity = content.similarity(_movies(spark, sf))
+    similarity = content.similarity(_movies(spark, sf)).store()
     out = scratch_path(spark, "stream-recs")
     recommender.start_recommender(
         stream, lambda: similarity, lambda: _seen(spark, sf), out,

@@ -18,6 +18,8 @@ def build_session(app="kinora", master=None, **conf):
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Cut ranked lists before the exchange for long prefixes too (default: up to 1000).
+        "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
         **conf,
     }
     for key, value in settings.items():

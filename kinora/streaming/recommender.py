@@ -43,7 +43,7 @@ def start_recommender(events, similarity, rated, path, checkpoint, keep=RECENT_R
     """Write fresh recommendations for every user of each micro-batch.
 
     ``similarity`` and ``rated`` (uid, item) are functions without arguments: called per
-    micro-batch they pick up refreshed tables.
+    micro-batch they pick up refreshed tables.  Pass stored tables, they are read every time.
     """
 
     def score(rows, batch_id):
