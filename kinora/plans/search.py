@@ -4,10 +4,13 @@ from pyspark.sql import functions as F
 
 from kinora.functions.text import search_tokens
 from kinora.operators.topk import top_k
+from kinora.session import stored
 
 TOP_DOCS = 10
 TOP_TERMS = 25
 RANK_DIGITS = 9
+# Seed terms are broadcast up to this many seeds (n_terms rows each), joined by shuffle beyond it.
+MAX_BROADCAST_SEEDS = 20_000
 
 
 def _postings(tokens, key):
@@ -53,7 +56,9 @@ def more_like_this(seeds, docs, n_terms=TOP_TERMS, k=TOP_DOCS):
     )
     vocabulary = seed_postings.select("token").distinct()
     tokens = docs.select("doc_id", F.explode(search_tokens(F.col("text"))).alias("token"))
+    # Read for the document frequencies and again for the scores.
     postings = _postings(tokens.join(vocabulary, "token", "left_semi"), "doc_id")
+    postings = stored(docs.sparkSession, postings, "postings")
     idf = _idf(postings, docs)
     weighted = seed_postings.join(idf, "token").select(
         "seed_id", "token", "idf", (F.col("tf") * F.col("idf")).alias("weight")
@@ -61,6 +66,8 @@ def more_like_this(seeds, docs, n_terms=TOP_TERMS, k=TOP_DOCS):
     heaviest = top_k(
         weighted, ["seed_id"], [F.round("weight", RANK_DIGITS).desc(), F.col("token").asc()], n_terms
     ).drop("rank")
+    if seeds.count() <= MAX_BROADCAST_SEEDS:
+        heaviest = F.broadcast(heaviest)
     scored = (
         postings.join(heaviest, "token")
         .groupBy("seed_id", "doc_id")
