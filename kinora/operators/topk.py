@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from kinora.session import shared_dir
+from kinora.session import stored
 
 
 def top_k(df, keys, order, k, rank="rank"):
@@ -48,7 +48,7 @@ def top_unseen(requests, prefix, seen, order, k, first=None, growth=8):
     ...) in the order ``order``.  A short prefix answers nearly every request; requests that still miss entries while
     their list goes on are asked again with a longer prefix, until none is left.
     """
-    shared_dir(requests.sparkSession)
+    spark = requests.sparkSession
     length = first or 3 * k
     done = []
     pending = requests
@@ -56,8 +56,8 @@ def top_unseen(requests, prefix, seen, order, k, first=None, growth=8):
         entries = prefix(length, pending.select("list_key").distinct())
         sizes = entries.groupBy("list_key").agg(F.count(F.lit(1)).alias("length"))
         unseen = pending.join(entries, "list_key").join(seen, ["uid", "item"], "left_anti")
-        # Reliable checkpoint: the result is read twice and cuts the lineage of further rounds.
-        found = top_k(unseen, ["uid", "list_key"], order, k).checkpoint()
+        # Stored: read more than once, and later rounds start from it.
+        found = stored(spark, top_k(unseen, ["uid", "list_key"], order, k), "unseen")
         done.append(found)
         got = found.groupBy("uid", "list_key").agg(F.count(F.lit(1)).alias("got"))
         short = (
@@ -65,8 +65,8 @@ def top_unseen(requests, prefix, seen, order, k, first=None, growth=8):
             .where(F.coalesce("got", F.lit(0)) < k)
             .join(sizes.where(F.col("length") >= length), "list_key")
             .select("uid", "list_key")
-            .checkpoint()
         )
+        short = stored(spark, short, "short")
         if short.isEmpty():
             break
         done[-1] = found.join(short, ["uid", "list_key"], "left_anti")

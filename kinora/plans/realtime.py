@@ -20,10 +20,6 @@ def recent_ratings(events, k=RECENT_RATINGS):
     return top_k(events, ["uid"], newest_first(), k)
 
 
-def newest_event(events):
-    return top_k(events, ["uid"], newest_first(), 1).drop("rank")
-
-
 def candidates(triggers, similarity, seen, k=SIMILAR_MOVIES):
     """k most similar movies of each trigger (uid, mid) that the user has not rated.
 

@@ -7,7 +7,7 @@ from kinora.functions.text import rating_fields, recent_fields
 from kinora.operators.similar import ItemSimilarity
 from kinora.operators.topk import to_nested
 from kinora.plans import content, demographic, itemcf, lfm, realtime, search, statistics, usercf
-from kinora.session import scratch_path
+from kinora.session import scratch_path, stored
 from kinora.sources import fixtures as fx
 from kinora.sources import streams, tables
 from kinora.streaming import recommender
@@ -397,14 +397,19 @@ def _seen(spark, sf):
     return _ratings(spark, sf).select("uid", F.col("mid").alias("item"))
 
 
-def _newest(spark, sf):
-    return realtime.newest_event(fx.rating_events(spark, sf))
+def _recents(spark, sf):
+    """Recent lists, stored because triggers and scores both read them."""
+    return stored(spark, realtime.recent_ratings(fx.rating_events(spark, sf)), "recent-ratings")
+
+
+def _newest(recents):
+    return recents.where("rank = 1").select("uid", "mid")
 
 
 @query
 def sim_candidates(spark, sf):
     similarity = content.similarity(_movies(spark, sf)).store()
-    found = realtime.candidates(_newest(spark, sf), similarity, _seen(spark, sf))
+    found = realtime.candidates(_newest(_recents(spark, sf)), similarity, _seen(spark, sf))
     return found.select("uid", "mid", "rank", "item", _r6("score"))
 
 
@@ -414,15 +419,17 @@ def sim_candidates_flat(spark, sf):
     pairs = itemcf.neighbours(_ratings(spark, sf), k=50).select(
         F.col("mid1").alias("source"), F.col("mid2").alias("target"), "score"
     )
-    found = realtime.candidates(_newest(spark, sf), ItemSimilarity(pairs).store(), _seen(spark, sf))
+    found = realtime.candidates(_newest(_recents(spark, sf)), ItemSimilarity(pairs).store(), _seen(spark, sf))
     return found.select("uid", "mid", "rank", "item", _r6("score"))
 
 
 @query
 def realtime_scores(spark, sf):
     similarity = content.similarity(_movies(spark, sf)).store()
-    found = realtime.candidates(_newest(spark, sf), similarity, _seen(spark, sf))
-    recents = realtime.recent_ratings(fx.rating_events(spark, sf))
+    recents = _recents(spark, sf)
+    found = stored(
+        spark, realtime.candidates(_newest(recents), similarity, _seen(spark, sf)), "candidates"
+    )
     scored = realtime.scores(found, recents, similarity)
     return scored.select("uid", "item", _r6("score"))
 

@@ -1,8 +1,9 @@
 """Per-user list of the newest ratings as streaming state (worker-side functions)."""
 
+import heapq
+
 import pandas as pd
 
-EVENT_FIELDS = ["event_id", "mid", "score", "timestamp"]
 STATE_SCHEMA = "event_id array<long>, mid array<int>, score array<double>, timestamp array<int>"
 OUTPUT_SCHEMA = (
     "uid int, event_id long, mid int, timestamp int, "
@@ -29,33 +30,28 @@ def fold_recent(keep):
     """State update: merge a user's new ratings chunk by chunk, never holding more than needed."""
 
     def fold(key, frames, state):
-        newest = pd.DataFrame(dict(zip(EVENT_FIELDS, state.get))) if state.exists else None
+        newest = []
+        if state.exists:
+            ids, mids, ratings, times = state.get
+            newest = list(zip(times, ids, mids, ratings))
         trigger = None
         for frame in frames:
-            fresh = frame[EVENT_FIELDS]
-            merged = fresh if newest is None else pd.concat([newest, fresh], ignore_index=True)
-            newest = merged.sort_values(["timestamp", "event_id"], ascending=False).head(keep)
-            top = fresh.sort_values(["timestamp", "event_id"], ascending=False).iloc[0]
-            if trigger is None or (top["timestamp"], top["event_id"]) > (trigger["timestamp"], trigger["event_id"]):
-                trigger = top
+            fresh = list(zip(*(frame[c].tolist() for c in ("timestamp", "event_id", "mid", "score"))))
+            newest = heapq.nlargest(keep, newest + fresh)
+            trigger = max(fresh + ([trigger] if trigger else []))
         if trigger is None:
             return
-        columns = [
-            [int(x) for x in newest["event_id"]],
-            [int(x) for x in newest["mid"]],
-            [float(x) for x in newest["score"]],
-            [int(x) for x in newest["timestamp"]],
-        ]
-        state.update(tuple(columns))
+        times, ids, mids, ratings = ([row[i] for row in newest] for i in range(4))
+        state.update((ids, mids, ratings, times))
         yield pd.DataFrame(
             {
                 "uid": [int(key[0])],
-                "event_id": [int(trigger["event_id"])],
-                "mid": [int(trigger["mid"])],
-                "timestamp": [int(trigger["timestamp"])],
-                "recent_ids": [columns[0]],
-                "recent_mids": [columns[1]],
-                "recent_scores": [columns[2]],
+                "event_id": [trigger[1]],
+                "mid": [trigger[2]],
+                "timestamp": [trigger[0]],
+                "recent_ids": [ids],
+                "recent_mids": [mids],
+                "recent_scores": [ratings],
             }
         )
 
