@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from kinora.operators.topk import top_k, top_unseen
+from kinora.session import stored
 
 TOP_ITEMS = 10
 RANK_DIGITS = 9
@@ -21,7 +22,9 @@ def popular_by_profile(profiles, ratings, attributes):
 
 def recommend(profiles, ratings, attributes, k=TOP_ITEMS):
     """Items most rated (then best rated) in the user's profile group that the user has not rated."""
-    popular = popular_by_profile(profiles, ratings, attributes)
+    popular = stored(
+        ratings.sparkSession, popular_by_profile(profiles, ratings, attributes), "profile-popularity"
+    )
     order = [F.col("n_ratings").desc(), F.round("avg", RANK_DIGITS).desc(), F.col("item").asc()]
 
     def prefix(n, keys):
