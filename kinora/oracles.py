@@ -216,8 +216,8 @@ SELECT round(sqrt(avg((score - prediction) * (score - prediction))), 6) AS rmse,
 FROM ratings JOIN predicted USING (uid, mid)"""),
     "log_filter": _with(EVENTS, LINES, "SELECT 'logProcessor' AS key, message AS value FROM lines WHERE rated"),
     "rating_parse": _with(EVENTS, LINES, """
-SELECT e.event_id, CASE WHEN rated THEN uid END AS uid, CASE WHEN rated THEN mid END AS mid,
-       CASE WHEN rated THEN score END AS score, CASE WHEN rated THEN "timestamp" END AS "timestamp"
+SELECT e.event_id, CASE WHEN rated THEN uid ELSE -1 END AS uid, CASE WHEN rated THEN mid ELSE -1 END AS mid,
+       CASE WHEN rated THEN score ELSE -1 END AS score, CASE WHEN rated THEN "timestamp" ELSE -1 END AS "timestamp"
 FROM rating_events e JOIN lines l USING (event_id) WHERE rated OR plain"""),
     "recent_entry_parse": _with(EVENTS, RECENTS, "SELECT uid, rank, mid, score FROM recents"),
     "rating_stream": _with(EVENTS, 'SELECT event_id, uid, mid, score, "timestamp" FROM rating_events'),

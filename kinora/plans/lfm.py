@@ -1,6 +1,9 @@
 """Latent factors: ALS recommendations, factor similarity, parameter grid and RMSE."""
 
-from pyspark import StorageLevel
+from itertools import product
+from multiprocessing.pool import ThreadPool
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
@@ -128,18 +131,26 @@ def rmse(actual, predicted, multiplicity=False):
     )
 
 
-def grid(train, test, ranks=GRID_RANKS, regs=GRID_REGULARISATION, iterations=ITERATIONS, seed=SEED):
-    """RMSE on ``test`` for every setting: (rank, lambda, rmse), one row per setting."""
+def grid(
+    train, test, ranks=GRID_RANKS, regs=GRID_REGULARISATION, iterations=ITERATIONS, seed=SEED, parallel=4
+):
+    """RMSE on ``test`` for every setting: (rank, lambda, rmse), one row per setting.
+
+    ``parallel`` settings are fitted at a time, so their small stages fill the cluster together.
+    """
     spark = train.sparkSession
     train = train.select("uid", "mid", "score").persist(StorageLevel.MEMORY_AND_DISK)
     test = test.select("uid", "mid", "score").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def measure(setting):
+        rank, reg = setting
+        model = fit_als(train, rank, iterations, reg, seed)
+        predicted = predict_pairs(model, test.select("uid", "mid").distinct())
+        return rank, float(reg), rmse(test, predicted).first()["rmse"]
+
     try:
-        results = []
-        for rank in ranks:
-            for reg in regs:
-                model = fit_als(train, rank, iterations, reg, seed)
-                predicted = predict_pairs(model, test.select("uid", "mid").distinct())
-                results.append((rank, float(reg), rmse(test, predicted).first()["rmse"]))
+        with ThreadPool(parallel) as pool:
+            results = pool.map(inheritable_thread_target(spark)(measure), product(ranks, regs))
     finally:
         train.unpersist()
         test.unpersist()

@@ -330,7 +330,10 @@ def log_filter(spark, sf):
 @query
 def rating_parse(spark, sf):
     lines = fx.events_as_log_lines(fx.table(spark, sf, "events"))
-    return lines.select("event_id", *rating_fields(F.element_at(F.split("value", ": ?"), -1)))
+    fields = rating_fields(F.element_at(F.split("value", ": ?"), -1))
+    parsed = lines.select("event_id", *fields)
+    # Fields that cannot be parsed are shown as -1.
+    return parsed.fillna(-1)
 
 
 @query
