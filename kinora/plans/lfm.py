@@ -114,20 +114,22 @@ def rmse(actual, predicted, multiplicity=False):
     """Root mean squared error over actual rows with a prediction for their (uid, mid).
 
     Predictions are unique per key; with ``multiplicity`` a key rated k times has k predictions
-    and so k * k terms.  Weights stand for the repeats, nothing is written out twice.
+    and so k * k terms.  Each key is one row with its count and sums, so both sides meet in one
+    shuffle on (uid, mid) and repeats are not written out.
     """
     keys = ["uid", "mid"]
-    one = predicted.groupBy(*keys).agg(F.max("prediction").alias("prediction"))
-    error = F.col("score") - F.col("prediction")
-    terms = actual.groupBy(*keys, "score").agg(F.count(F.lit(1)).alias("n")).join(one, keys)
-    weight = F.col("n")
-    if multiplicity:
-        copies = actual.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-        terms = terms.join(copies, keys)
-        weight = F.col("n") * F.col("copies")
-    return terms.agg(
-        F.sqrt(F.sum(error * error * weight) / F.sum(weight)).alias("rmse"),
-        F.sum(weight).cast("long").alias("n_terms"),
+    one = predicted.groupBy(*keys).agg(F.max("prediction").alias("p"))
+    sums = actual.groupBy(*keys).agg(
+        F.count("score").alias("n"),
+        F.sum("score").alias("total"),
+        F.sum(F.col("score") * F.col("score")).alias("squares"),
+    )
+    n, p = F.col("n"), F.col("p")
+    squared_error = F.greatest(F.lit(0.0), F.col("squares") - 2 * p * F.col("total") + n * p * p)
+    copies = n if multiplicity else F.lit(1)
+    return sums.join(one, keys).agg(
+        F.sqrt(F.sum(squared_error * copies) / F.sum(n * copies)).alias("rmse"),
+        F.sum(n * copies).cast("long").alias("n_terms"),
     )
 
 

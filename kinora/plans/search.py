@@ -36,7 +36,8 @@ def keyword_search(docs, terms, max_edits=1, k=TOP_DOCS):
     wanted = F.array(*[F.lit(t) for t in terms])
     near = lambda token: F.exists(wanted, lambda t: F.levenshtein(token, t, max_edits) >= 0)
     hits = docs.select("doc_id", F.explode(F.filter(search_tokens(F.col("text")), near)).alias("token"))
-    postings = _postings(hits, "doc_id")
+    # Read for the document frequencies and again for the scores; holds matching tokens only.
+    postings = stored(docs.sparkSession, _postings(hits, "doc_id"), "keyword-postings")
     scored = (
         postings.join(_idf(postings, docs), "token")
         .groupBy("doc_id")
