@@ -4,12 +4,14 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from kinora.llm import idstore, packing
+from kinora.llm import bytebpe, idstore, licenses, packing
 from kinora.llm.common import read
 from kinora.session import scratch_path
 
 #: Folder of the public vocabulary files; never copied into the repository.
 TOKENIZERS = "/opt/tokenizers"
+#: The pattern that splits text before the merges of the rank files (a fixed value of those files).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 QUERIES, ORACLES = {}, {}
 
 
@@ -37,3 +39,21 @@ def op8_token_id_store(spark, sf):
     parts = idstore.write(docs, path, vocabulary("word_bpe_49k.json"))
     found = idstore.contents(spark, path, docs, parts)
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op6_byte_bpe(spark, sf):
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    encoded = bytebpe.encode(read(spark, sf, "documents"), ranks, PATTERN)
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return bytebpe.decode(encoded, ranks).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op4_license_rules(spark, sf):
+    return licenses.scan(read(spark, sf, "documents")).drop("spans")
