@@ -51,9 +51,12 @@ def range_buckets(df, key, count):
     )
 
 
-def once_per_worker(name, build):
-    """What ``build`` returns, kept for the later tasks of a reused Python worker (models, caches of bounded size)."""
+def once_per_worker(name, build, version=None):
+    """What ``build`` returns, kept for the later tasks of a reused Python worker (models, caches of bounded size).
+
+    Only the newest version of each name stays.
+    """
     kept = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__
-    if name not in kept:
-        kept[name] = build()
-    return kept[name]
+    if name not in kept or kept[name][0] != version:
+        kept[name] = (version, build())
+    return kept[name][1]

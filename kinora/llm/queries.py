@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from kinora.llm import bytebpe, idstore, licenses, packing
+from kinora.llm import bytebpe, idstore, imatch, licenses, packing
 from kinora.llm.common import read
 from kinora.session import scratch_path
 
@@ -57,3 +57,8 @@ def op6_byte_bpe(spark, sf):
 @query
 def op4_license_rules(spark, sf):
     return licenses.scan(read(spark, sf, "documents")).drop("spans")
+
+
+@query
+def op7_imatch(spark, sf):
+    return imatch.fingerprints(read(spark, sf, "documents"))
