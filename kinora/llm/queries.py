@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from kinora.llm import bytebpe, idstore, imatch, licenses, packing
+from kinora.llm import bytebpe, idstore, imatch, licenses, packing, toxicity
 from kinora.llm.common import read
 from kinora.session import scratch_path
 
@@ -62,3 +62,19 @@ def op4_license_rules(spark, sf):
 @query
 def op7_imatch(spark, sf):
     return imatch.fingerprints(read(spark, sf, "documents"))
+
+
+#: Score from which a document counts as toxic.
+TOXIC_FROM = 0.3
+
+
+@query
+def op5_toxicity(spark, sf):
+    docs, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
+    model = toxicity.train(docs, labels.where(~toxicity.held_out()))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"),
+    )
