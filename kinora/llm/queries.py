@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from kinora.llm import bytebpe, idstore, imatch, licenses, packing, toxicity
+from kinora.llm import bytebpe, idstore, imatch, licenses, packing, quality, toxicity
 from kinora.llm.common import read
 from kinora.session import scratch_path
 
@@ -78,3 +78,8 @@ def op5_toxicity(spark, sf):
         "score",
         F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query
+def op9_quality_rules(spark, sf):
+    return quality.judge(read(spark, sf, "documents"), read(spark, sf, "labels"))
