@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from kinora.llm import bytebpe, idstore, imatch, licenses, packing, quality, toxicity
+from kinora.llm import bytebpe, idstore, imatch, licenses, packing, quality, setjoin, toxicity
 from kinora.llm.common import read
 from kinora.session import scratch_path
 
@@ -83,3 +83,8 @@ def op5_toxicity(spark, sf):
 @query
 def op9_quality_rules(spark, sf):
     return quality.judge(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
+@query
+def op10_jaccard_join(spark, sf):
+    return setjoin.groups(read(spark, sf, "documents"), words=3, share=(90, 100))
