@@ -59,7 +59,7 @@ class Splitter:
         head, *rest = text.split(" ")
         if head not in self.first:
             self.first[head] = self._match(head)
-        for piece in set(rest) - self.inner.keys():
+        for piece in [p for p in set(rest) if p not in self.inner]:
             self.inner[piece] = self._match(" " + piece)
         return self.first[head] + b"".join(map(self.inner.__getitem__, rest))
 

@@ -65,7 +65,7 @@ class Fingerprinter:
         if len(self.known) > MAX_CACHED_WORDS:
             self.known = {}
         known = self.known
-        for word in words - known.keys():
+        for word in [w for w in words if w not in known]:
             h = xxhash.xxh64_intdigest(word, SEED)
             known[word] = h if h in self.terms else 0
         hashes = [h for h in map(known.__getitem__, words) if h]

@@ -165,7 +165,7 @@ class Scanner:
         """(n_words, places of base phrases as (word, label), kept detections as (start, end, label, confidence))."""
         words = text.encode("utf-8", "surrogatepass").translate(_FOLD).split(b" ")
         words = [w for w in words if w]
-        present = self.by_keyword.keys() & words if not self.by_keyword.keys().isdisjoint(words) else ()
+        present = {w for w in words if w in self.by_keyword}
         if not present and self.base_words.isdisjoint(words):
             return len(words), [], []
         joined = b" " + b" ".join(words) + b" "

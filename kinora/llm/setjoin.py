@@ -59,7 +59,7 @@ class Sets:
         if len(self.known) > MAX_CACHED_WORDS:
             self.known = {}
         known = self.known
-        for word in set(words) - known.keys():
+        for word in [w for w in set(words) if w not in known]:
             known[word] = xxhash.xxh64_intdigest(word)
         codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         size = min(self.size, len(codes))

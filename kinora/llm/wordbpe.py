@@ -45,8 +45,7 @@ class WordEncoder:
         split = [None if ODD_SPACE.search(text) else text.split() for text in texts]
         if len(self.words) > self.cached:
             self.words, self.tokens = {}, {}
-        new = set().union(*filter(None, split)) - self.words.keys()
-        self._learn(new)
+        self._learn([w for w in set().union(*filter(None, split)) if w not in self.words])
         known = self.words.__getitem__
         return [
             self._whole(text) if words is None else b"".join(map(known, words)) for text, words in zip(texts, split)
@@ -66,7 +65,7 @@ class WordEncoder:
                 pieces.append((word, self.pattern.findall(word.lower())))
         lower = [word.lower() for word in whole]
         tokens.update(lower, *[p for _, p in pieces])
-        self._merge(list(tokens - self.tokens.keys()))
+        self._merge([t for t in tokens if t not in self.tokens])
         known = self.tokens.__getitem__
         self.words.update(zip(whole, map(known, lower)))
         self.words.update([(word, b"".join(map(known, p))) for word, p in pieces])
