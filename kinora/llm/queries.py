@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from kinora.llm import bytebpe, idstore, imatch, licenses, packing, quality, setjoin, toxicity
+from kinora.llm import bytebpe, idstore, imatch, licenses, packing, pii, quality, setjoin, toxicity
 from kinora.llm.common import read
 from kinora.session import scratch_path
 
@@ -88,3 +88,14 @@ def op9_quality_rules(spark, sf):
 @query
 def op10_jaccard_join(spark, sf):
     return setjoin.groups(read(spark, sf, "documents"), words=3, share=(90, 100))
+
+
+@query
+def op2_pii(spark, sf):
+    found = pii.scan(read(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        *(f"n_{kind}" for kind in pii.KINDS),
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
