@@ -4,7 +4,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from kinora.llm import bytebpe, idstore, imatch, licenses, packing, pii, quality, setjoin, toxicity
+from kinora.llm import bytebpe, idstore, imatch, licenses, packing, pii, quality, setjoin, toxicity, urls
 from kinora.llm.common import read
 from kinora.session import scratch_path
 
@@ -99,3 +99,18 @@ def op2_pii(spark, sf):
         F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
         pii.written(F.col("spans")).alias("spans"),
     )
+
+
+#: The rules that decide urls before the method does.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@query
+def op1_url_verdicts(spark, sf):
+    return urls.judge(read(spark, sf, "pages"), URL_RULES)

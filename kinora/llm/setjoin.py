@@ -448,3 +448,15 @@ def groups(docs, key="doc_id", text="text", words=WORDS, share=SHARE):
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
     )
+
+
+def first_of_group(docs, key="doc_id", text="text", words=WORDS, share=SHARE):
+    """``docs`` without the documents that are linked to one of a smaller key; of equal rows one stays.
+
+    Rows without a key stay.  Only keys move: the few documents that go are left out by an anti join.
+    """
+    grouped = groups(docs, key, text, words, share)
+    gone = stored(docs.sparkSession, grouped.where("component_id != doc_id").select("doc_id").distinct(), "gone")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(row, F.col(key).cast("long").alias("id"))
+    return rows.join(gone, F.col("id") == F.col("doc_id"), "left_anti").select("row.*")

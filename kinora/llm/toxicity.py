@@ -136,21 +136,29 @@ def train(docs, labels, key="doc_id", text="text", label="toxic", max_rows=MAX_R
     return Model(buckets, fitted.coefficients.toArray() * ratios, float(fitted.intercept))
 
 
+def _scorer(held):
+    def build():
+        weights = np.zeros(BUCKETS)
+        weights[held.value.buckets] = held.value.weights
+        return Grams(), weights
+
+    return build
+
+
+def _scores(texts, grams, weights, intercept):
+    with np.errstate(over="ignore"):
+        sums = [intercept + weights[grams(text or "")].sum() for text in texts]
+    return 1 / (1 + np.exp(-np.clip(np.array(sums, float), -50, 50)))
+
+
 def score(docs, model, key="doc_id", text="text"):
     """doc_id and score (0 to 1) of every row."""
     held, version = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def scored(arrow):
-        def build():
-            weights = np.zeros(BUCKETS)
-            weights[held.value.buckets] = held.value.weights
-            return Grams(), weights
-
-        grams, weights = once_per_worker("toxicity", build, version)
+        grams, weights = once_per_worker("toxicity", _scorer(held), version)
         for batch in arrow:
-            with np.errstate(over="ignore"):
-                sums = [held.value.intercept + weights[grams(content)].sum() for content in batch.column(1).to_pylist()]
-            scores = 1 / (1 + np.exp(-np.clip(np.array(sums, float), -50, 50)))
+            scores = _scores(batch.column(1).to_pylist(), grams, weights, held.value.intercept)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
 
     return keyed_text(docs, key, text).mapInArrow(scored, "doc_id long, score double")
@@ -159,3 +167,17 @@ def score(docs, model, key="doc_id", text="text"):
 def held_out(key="doc_id"):
     """Rows whose labels are never learnt from."""
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
+
+
+def filtered(docs, model, cutoff, text="text"):
+    """``docs`` whose score is below ``cutoff``, with their own columns (whatever their names)."""
+    held, version = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    at = docs.columns.index(text)
+
+    def below(arrow):
+        grams, weights = once_per_worker("toxicity", _scorer(held), version)
+        for batch in arrow:
+            keep = _scores(batch.column(at).to_pylist(), grams, weights, held.value.intercept) < cutoff
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(below, docs.schema)
