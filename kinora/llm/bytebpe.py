@@ -27,12 +27,12 @@ from pyspark.sql import functions as F
 from kinora.llm.common import keyed_text, partitions, stored
 from kinora.llm.packing import _runs
 
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 8_000_000
 #: A space that belongs to a run of white space: such texts are split as a whole.
 SPACE_RUN = regex.compile(r" \s")
 
 POSITIONS = "block string, doc_ids array<long>, counts array<long>, at binary"
-WORDS = "block string, bucket int, words array<string>, at binary"
+WORDS = "block string, bucket int, words binary, lengths binary, at binary"
 CODED = "block string, at binary, lengths binary, ids binary"
 ENCODED = "doc_id long, n_tokens long, ids array<int>"
 
@@ -107,33 +107,30 @@ def encode(docs, ranks_text, pattern, key="doc_id", text="text", block_chars=BLO
 
     def positions(arrow):
         for name, keys, counts, at, _ in _blocks(arrow, pattern, block_chars):
-            planes = np.ascontiguousarray(at.view(np.uint8).reshape(-1, 4).T).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([name]),
                     pa.array([keys], pa.list_(pa.int64())),
                     pa.array([counts], pa.list_(pa.int64())),
-                    pa.array([zstandard.compress(planes)], pa.binary()),
+                    pa.array([_packed(at)], pa.binary()),
                 ],
                 names=["block", "doc_ids", "counts", "at"],
             )
 
     def words(arrow):
         for name, _, _, _, listed in _blocks(arrow, pattern, block_chars):
-            bucket = np.array([zlib.crc32(w.encode()) % buckets for w in listed], np.int64)
+            encoded = [w.encode() for w in listed]
+            bucket = np.array([zlib.crc32(w) % buckets for w in encoded], np.int64)
             order = np.argsort(bucket, kind="stable")
             stops = np.cumsum(np.bincount(bucket, minlength=buckets))
             for b, (start, stop) in enumerate(zip([0, *stops[:-1]], stops)):
                 if start < stop:
                     own = order[start:stop]
+                    part = [encoded[i] for i in own]
+                    packed = (zstandard.compress(b"".join(part)), _packed(map(len, part)), _packed(np.diff(own, prepend=0)))
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([name]),
-                            pa.array([b], pa.int32()),
-                            pa.array([[listed[i] for i in own]], pa.list_(pa.string())),
-                            pa.array([own.astype("<u4").tobytes()], pa.binary()),
-                        ],
-                        names=["block", "bucket", "words", "at"],
+                        [pa.array([name]), pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)],
+                        names=["block", "bucket", "words", "lengths", "at"],
                     )
 
     def code(arrow):
@@ -144,12 +141,16 @@ def encode(docs, ranks_text, pattern, key="doc_id", text="text", block_chars=BLO
                 if own.column(0)[0].as_py() != bucket:
                     bucket, known = own.column(0)[0].as_py(), {}
                 for row in own.to_pylist():
-                    new = [w for w in row["words"] if w not in known]
-                    known.update(zip(new, (np.array(merge.encode_ordinary(w), "<u4").tobytes() for w in new)))
-                    ids = [known[w] for w in row["words"]]
-                    lengths = np.array([len(i) // 4 for i in ids], "<u4").tobytes()
+                    stops = np.cumsum(_unpacked(row["lengths"])).tolist()
+                    joined = zstandard.decompress(row["words"])
+                    listed = [joined[a:b] for a, b in zip([0, *stops], stops)]
+                    for word in listed:
+                        if word not in known:
+                            known[word] = np.array(merge.encode_ordinary(word.decode()), "<u4").tobytes()
+                    ids = [known[w] for w in listed]
+                    packed = (row["at"], _packed(len(i) // 4 for i in ids), _packed(np.frombuffer(b"".join(ids), "<u4")))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([row["block"]]), *(pa.array([x], pa.binary()) for x in (row["at"], lengths, b"".join(ids)))],
+                        [pa.array([row["block"]]), *(pa.array([x], pa.binary()) for x in packed)],
                         names=["block", "at", "lengths", "ids"],
                     )
 
@@ -157,7 +158,7 @@ def encode(docs, ranks_text, pattern, key="doc_id", text="text", block_chars=BLO
         rows.mapInArrow(words, WORDS)
         .repartition(partitions(spark), "bucket")
         .sortWithinPartitions("bucket")
-        .select("bucket", "block", "words", "at")
+        .select("bucket", "block", "words", "lengths", "at")
         .mapInArrow(code, CODED)
         .groupBy("block")
         .agg(F.collect_list(F.struct("at", "lengths", "ids")).alias("coded"))
@@ -169,31 +170,37 @@ def _reassembled(arrow):
     """Documents of each block: the ids of its words, taken by position."""
     for batch in arrow:
         for row in batch.to_pylist():
-            planes = np.frombuffer(zstandard.decompress(row["at"]), np.uint8).reshape(4, -1)
-            at = np.ascontiguousarray(planes.T).view("<u4").ravel()
-            coded = row["coded"] or []
-            place = np.concatenate([np.frombuffer(c["at"], "<u4") for c in coded] or [np.zeros(0, "<u4")])
-            lengths = np.concatenate([np.frombuffer(c["lengths"], "<u4") for c in coded] or [np.zeros(0, "<u4")]).astype(np.int64)
-            if len(place) < (at.max() + 1 if len(at) else 0):
+            at = _unpacked(row["at"])
+            word = {}
+            for part in row["coded"] or []:
+                stops = (4 * np.cumsum(_unpacked(part["lengths"]))).tolist()
+                raw = _unpacked(part["ids"]).tobytes()
+                places = np.cumsum(_unpacked(part["at"])).tolist()
+                word.update(zip(places, [raw[a:b] for a, b in zip([0, *stops], stops)]))
+            if len(word) < (int(at.max()) + 1 if len(at) else 0):
                 raise RuntimeError("the input read back differently; encode it with stable=False")
-            flat = np.frombuffer(b"".join(c["ids"] for c in coded), "<u4")
-            starts = np.cumsum(lengths) - lengths
-            word = [b""] * len(place)
-            raw = flat.tobytes()
-            for p, start, length in zip(place.tolist(), starts.tolist(), lengths.tolist()):
-                word[p] = raw[4 * start : 4 * (start + length)]
-            done, listed = 0, at.tolist()
-            keys, ids = row["doc_ids"], []
+            done, size, keys, ids = 0, 0, row["doc_ids"], []
             for count in row["counts"]:
-                ids.append(b"".join(map(word.__getitem__, listed[done : done + count])))
-                done += count
-                if sum(map(len, ids)) > 1 << 24:
+                ids.append(b"".join(map(word.__getitem__, at[done : done + count].tolist())))
+                done, size = done + count, size + len(ids[-1])
+                if size > 1 << 24:
                     yield _documents(keys[: len(ids)], ids)
-                    keys, ids = keys[len(ids) :], []
+                    size, keys, ids = 0, keys[len(ids) :], []
             if ids:
                 yield _documents(keys, ids)
 
 
+def _packed(numbers):
+    """Unsigned 32-bit numbers, each byte plane by itself, compressed."""
+    planes = (numbers.astype("<u4") if isinstance(numbers, np.ndarray) else np.fromiter(numbers, "<u4")).view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _unpacked(packed):
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def _documents(keys, ids):
     counts = np.array([len(i) // 4 for i in ids], np.int64)
     offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
