@@ -44,56 +44,56 @@ def _dropped(text, chars):
 def with_counts(docs, text="text"):
     """``docs`` with the base counts, ``base_failed`` and the measure of each rule, under a prefix-free struct ``q``."""
     content = F.coalesce(F.col(text), F.lit(""))
+    # One column a step, so that what a later step reads several times is computed once.
     lines = F.filter(F.split(content, "\n"), lambda line: F.translate(line, SPACE, "") != "")
     words = F.filter(F.split(content, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    # One struct a step: what a later step reads several times is computed once.
-    step = docs.withColumn("q", F.struct(words.alias("words"), lines.alias("lines")))
-    w, n = F.col("q.words"), F.size("q.words")
+    step = docs.withColumns({"_words": words, "_lines": lines})
+    n = F.size("_words")
     windows = F.when(
         n >= WINDOW,
         F.transform(
             F.sequence(F.lit(0), n - WINDOW),
-            lambda i: F.xxhash64(*(F.get(w, i + d) for d in range(WINDOW))),
+            lambda i: F.xxhash64(*(F.get("_words", i + d) for d in range(WINDOW))),
         ),
     )
-    step = step.withColumn("q", F.struct("q.*", windows.alias("windows")))
+    step = step.withColumn("_windows", windows)
     # Only texts with a repeated window are sorted.
-    seen = F.col("q.windows")
     pairs = F.when(
-        F.size(F.array_distinct(seen)) < F.size(seen),
-        F.sort_array(F.transform(seen, lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+        F.size(F.array_distinct("_windows")) < F.size("_windows"),
+        F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
     )
-    step = step.withColumn("q", F.struct("q.words", "q.lines", pairs.alias("pairs")))
-    pair = F.col("q.pairs")
+    step = step.withColumn("_pairs", pairs)
     repeated = F.filter(
-        pair,
-        lambda x, j: (x["h"] == F.get(pair, j + 1)["h"]) | ((j > 0) & (x["h"] == F.get(pair, j - 1)["h"])),
+        "_pairs",
+        lambda x, j: (x["h"] == F.get("_pairs", j + 1)["h"]) | ((j > 0) & (x["h"] == F.get("_pairs", j - 1)["h"])),
     )
-    at = F.sort_array(F.transform(repeated, lambda x: x["i"]))
-    step = step.withColumn("q", F.struct("q.words", "q.lines", at.alias("at")))
-    at = F.col("q.at")
+    step = step.withColumn("_at", F.sort_array(F.transform(repeated, lambda x: x["i"])))
     covered = F.aggregate(
-        F.transform(at, lambda p, j: F.least(F.lit(WINDOW), F.coalesce(F.get(at, j + 1) - p, F.lit(WINDOW)))),
+        F.transform("_at", lambda p, j: F.least(F.lit(WINDOW), F.coalesce(F.get("_at", j + 1) - p, F.lit(WINDOW)))),
         F.lit(0),
         lambda total, x: total + x,
     )
     counted = {
-        "n_words": F.size("q.words"),
+        "n_words": n,
         "word_chars": F.length(F.translate(content, SPACE, "")),
         "n_symbols": _dropped(content, SYMBOLS),
-        "n_dup_lines": F.size("q.lines") - F.size(F.array_distinct("q.lines")),
+        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
         "n_repeat_words": F.coalesce(covered, F.lit(0)),
-        "n_lines": F.size("q.lines"),
+        "n_lines": F.size("_lines"),
         "n_capitals": _dropped(content, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
         "n_shouts": _dropped(content, "!"),
     }
-    step = step.withColumn("q", F.struct(*(c.cast("long").alias(name) for name, c in counted.items())))
-    q = {name: F.col(f"q.{name}") for name in counted}
+    # A row number, which is never negative, is part of the verdict: it keeps Spark from moving later filters, and with
+    # them copies of all these steps, below this point.
+    step = step.select(
+        *docs.columns, *(c.cast("long").alias(f"_{name}") for name, c in counted.items()), F.monotonically_increasing_id().alias("_barrier")
+    )
+    q = {name: F.col(f"_{name}") for name in counted}
 
     def share(a, b):
         return F.when(q[b] > 0, q[a] / q[b]).otherwise(F.lit(0.0))
 
-    failed = (q["n_words"] < LEAST_WORDS) | (100 * q["n_repeat_words"] > MOST_REPEATED * q["n_words"])
+    failed = (q["n_words"] < LEAST_WORDS) | (100 * q["n_repeat_words"] > MOST_REPEATED * q["n_words"]) | (F.col("_barrier") < 0)
     measures = {
         "symbols": share("n_symbols", "n_words"),
         "capitals": share("n_capitals", "word_chars"),
@@ -102,14 +102,8 @@ def with_counts(docs, text="text"):
         "long_words": share("word_chars", "n_words"),
         "repeats": share("n_repeat_words", "n_words"),
     }
-    return step.withColumn(
-        "q",
-        F.struct(
-            *(q[name].alias(name) for name in COUNTS),
-            failed.alias("base_failed"),
-            *(m.alias(name) for name, m in measures.items()),
-        ),
-    )
+    made = [*(q[name].alias(name) for name in COUNTS), failed.alias("base_failed"), *(m.alias(name) for name, m in measures.items())]
+    return step.select(*docs.columns, F.struct(*made).alias("q"))
 
 
 def at_most(k, n, rate):
