@@ -15,10 +15,10 @@ def year_month(seconds):
 
 
 def naive_seconds(ts):
-    """Unix seconds of a zone-less timestamp column read as UTC wall time."""
+    """Unix seconds of a zone-less timestamp column read as UTC wall time; null beyond 32 bits."""
     return (
-        F.unix_date(ts.cast("date")) * SECONDS_PER_DAY
+        F.unix_date(ts.cast("date")).cast("long") * SECONDS_PER_DAY
         + F.hour(ts) * 3600
         + F.minute(ts) * 60
         + F.second(ts)
-    ).cast("int")
+    ).try_cast("int")

@@ -44,6 +44,9 @@ class ItemSimilarity:
         if self.members is None:
             entries = wanted.withColumnRenamed("target", "item")
         else:
+            # A group is named by its smallest member, so at most n - 1 groups stand before one that has an entry among
+            # the first n: the cut comes before the members.
+            wanted = top_k(wanted, ["source"], best_first(item="target"), n, rank="place").drop("place")
             # Members tie on score and rank by id, so n members of a group are enough for any list.
             short = top_k(
                 self.members.select(F.col("source").alias("target"), F.col("mid").alias("item")),

@@ -53,7 +53,8 @@ def top_unseen(requests, prefix, seen, order, k, first=None, growth=8):
     done = []
     pending = requests
     while True:
-        entries = prefix(length, pending.select("list_key").distinct())
+        # Read twice, for the answers and for the list lengths.
+        entries = stored(spark, prefix(length, pending.select("list_key").distinct()), "prefix")
         sizes = entries.groupBy("list_key").agg(F.count(F.lit(1)).alias("length"))
         unseen = pending.join(entries, "list_key").join(seen, ["uid", "item"], "left_anti")
         # Stored: read more than once, and later rounds start from it.
@@ -70,7 +71,10 @@ def top_unseen(requests, prefix, seen, order, k, first=None, growth=8):
         if short.isEmpty():
             break
         done[-1] = found.join(short, ["uid", "list_key"], "left_anti")
-        pending, length = short, length * growth
+        # Only what the remaining users have seen is looked at again; k entries more than that are always enough.
+        seen = stored(spark, seen.join(short.select("uid").distinct(), "uid", "left_semi").distinct(), "seen")
+        most = seen.groupBy("uid").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        pending, length = short, min(length * growth, k + most)
     result = done[0]
     for part in done[1:]:
         result = result.unionByName(part)

@@ -1,6 +1,6 @@
 """The same results in plain SQL over the same tables, written without this package's shortcuts."""
 
-from kinora.queries import FACTOR_THRESHOLD, FIXTURE_GENRES, SEARCH_TERMS
+from kinora.queries import FACTOR_THRESHOLD, FIXTURE_GENRES, GRID_RANKS, SEARCH_TERMS
 
 # Bucket of each catalogue token under a 50-bucket hash.
 TOKEN_BUCKETS = {
@@ -282,3 +282,19 @@ SELECT seed_id, rank, doc_id, round(score, 6) AS score FROM (
         FROM postings JOIN heaviest h USING (token) GROUP BY seed_id, doc_id))
 WHERE rank <= 10"""),
 }
+
+# Factor models: the answers that any right model has.
+_USERS_HOLD = f"WITH {RATINGS} SELECT DISTINCT uid, true AS ok FROM ratings"
+ORACLES.update(
+    als_normal_equations=f"WITH {RATINGS} SELECT uid, count(*) AS n_ratings, true AS ok FROM ratings GROUP BY uid",
+    als_user_recs_hold=_USERS_HOLD,
+    als_unseen_recs_hold=_USERS_HOLD,
+    als_item_similarity_hold=f"WITH {RATINGS} SELECT DISTINCT mid, true AS ok FROM ratings",
+    als_predicted_pairs=f"""WITH {RATINGS},
+split AS (SELECT uid, mid, substr(md5(concat_ws('|', uid, mid)), 1, 2) < 'cd' AS is_train FROM ratings)
+SELECT uid, mid, count(*) AS n FROM split
+WHERE NOT is_train AND uid IN (SELECT uid FROM split WHERE is_train) AND mid IN (SELECT mid FROM split WHERE is_train)
+GROUP BY uid, mid""",
+    als_grid_holds=f"""SELECT CAST(r AS INTEGER) AS rank, CAST(l AS DOUBLE) AS lambda, true AS ok
+FROM (SELECT unnest([{', '.join(map(str, GRID_RANKS))}]) AS r), (SELECT unnest([0.01, 0.1, 1.0]) AS l)""",
+)

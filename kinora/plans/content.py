@@ -63,7 +63,7 @@ def similarity(movies, min_score=MIN_SIMILARITY, buckets=BUCKETS, **tuning):
         "words", "source", "n_members", weights.alias("weights"), (l2_norm(weights)).alias("norm")
     )
     # Zero vectors have no direction and never pass the threshold.
-    groups = stored(spark, groups, "content-groups").where(F.col("norm") > 0)
+    groups = stored(spark, groups, "content-groups").where((F.col("norm") > 0) & ~F.isnan("norm"))
 
     rows = groups.select("source", F.posexplode("weights").alias("bucket", "w")).where("w != 0")
     rows = rows.select(F.col("bucket").alias("g"), F.col("source").alias("e"), "w")

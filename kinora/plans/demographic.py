@@ -9,9 +9,17 @@ TOP_ITEMS = 10
 RANK_DIGITS = 9
 
 
+def _requests(profiles, attributes):
+    """``uid, list_key``, once each.  The key names every attribute with its value, so different profiles never share
+    one; a missing value is a value of its own.
+    """
+    key = F.to_json(F.struct(*attributes), {"ignoreNullFields": "false"})
+    return profiles.select("uid", key.alias("list_key")).distinct()
+
+
 def popular_by_profile(profiles, ratings, attributes):
     """Rating count and mean per profile group and movie."""
-    keyed = profiles.select("uid", F.concat_ws("|", *attributes).alias("list_key"))
+    keyed = _requests(profiles, attributes)
     per_user = ratings.groupBy("uid", "mid").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("total"))
     return (
         per_user.join(keyed, "uid")
@@ -30,7 +38,7 @@ def recommend(profiles, ratings, attributes, k=TOP_ITEMS):
     def prefix(n, keys):
         return top_k(popular.join(keys, "list_key", "left_semi"), ["list_key"], order, n, rank="place").drop("place")
 
-    requests = profiles.select("uid", F.concat_ws("|", *attributes).alias("list_key"))
+    requests = _requests(profiles, attributes)
     seen = ratings.select("uid", F.col("mid").alias("item"))
     found = top_unseen(requests, prefix, seen, order, k)
     return found.select("uid", "rank", F.col("item").alias("mid"), "n_ratings", "avg")

@@ -95,6 +95,30 @@ def factor_similarity(factors, min_score=MIN_SIMILARITY, top_k=None, centred=Fal
     )
 
 
+def with_products(model, pairs):
+    """``pairs`` (uid, mid, ...) with ``product`` of their factors; unknown users or items drop out."""
+    users = model.userFactors.select(F.col("id").alias("uid"), F.col("features").cast("array<double>").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias("mid"), F.col("features").cast("array<double>").alias("v"))
+    product_of = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    return pairs.join(users, "uid").join(items, "mid").withColumn("product", product_of)
+
+
+def user_residuals(model, ratings, reg):
+    """How far each user's factors are from solving their least squares: (uid, n_ratings, residual).
+
+    The residual is the largest component of sum((u v - r) v) + reg n u.
+    """
+    rows = with_products(model, ratings.select("uid", "mid", "score"))
+    error = F.col("product") - F.col("score")
+    terms = F.transform(F.zip_with("v", "u", lambda v, u: F.struct(v.alias("v"), u.alias("u"))), lambda x: error * x["v"] + reg * x["u"])
+    per_component = rows.select("uid", F.posexplode(terms).alias("at", "term")).groupBy("uid", "at").agg(
+        F.sum("term").alias("total"), F.count(F.lit(1)).alias("n")
+    )
+    return per_component.groupBy("uid").agg(
+        F.max("n").alias("n_ratings"), F.max(F.abs("total")).alias("residual")
+    )
+
+
 def predict_pairs(model, pairs):
     """Predicted score of (uid, mid) rows; unknown users or items drop out."""
     return model.transform(pairs).withColumn("prediction", F.col("prediction").cast("double"))

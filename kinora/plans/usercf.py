@@ -37,8 +37,8 @@ def recommend(ratings, users=TOP_USERS, items=TOP_ITEMS, **tuning):
     rated = vectors.select(F.col("uid").alias("other_uid"), "mid", "w")
     closeness = F.col("closeness")
     votes = near.join(rated, "other_uid").groupBy("uid", "mid").agg(
-        (F.sum(closeness * F.col("w")) / F.sum(closeness)).alias("score")
-    )
+        F.try_divide(F.sum(closeness * F.col("w")), F.sum(closeness)).alias("score")
+    ).where(F.col("score").isNotNull())
     unseen = votes.join(vectors.select("uid", "mid"), ["uid", "mid"], "left_anti")
     order = [F.round("score", RANK_DIGITS).desc(), F.col("mid").asc()]
     return top_k(unseen, ["uid"], order, items).select("uid", "rank", "mid", "score")

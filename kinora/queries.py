@@ -294,6 +294,84 @@ def als_grid_best(spark, sf):
     return lfm.best_setting(_grid(spark, sf))
 
 
+# What the factor models must satisfy, whatever their numbers: a row per user, movie, pair or setting.
+
+
+@query
+def als_normal_equations(spark, sf):
+    """The last half-step solves each user's regularised least squares."""
+    ratings = _ratings(spark, sf)
+    return lfm.user_residuals(lfm.fit_als(ratings, rank=ALS_RANK), ratings, lfm.REGULARISATION).select(
+        "uid", "n_ratings", (F.col("residual") <= 1e-3 * (1 + F.col("n_ratings"))).alias("ok")
+    )
+
+
+@query
+def als_user_recs_hold(spark, sf):
+    """Lists are ranked without gaps by the factor product, and no rated movie above the last entry is missing."""
+    ratings = _ratings(spark, sf)
+    model = lfm.fit_als(ratings, rank=ALS_RANK)
+    listed = stored(spark, lfm.user_recs(model), "als-recs")
+    fit = lfm.with_products(model, listed)
+    lists = fit.groupBy("uid").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("rank").alias("last"),
+        F.min("score").alias("least"),
+        F.max(F.abs(F.col("product") - F.col("score"))).alias("off"),
+        F.sum((F.col("score") <= 0).cast("int")).alias("negative"),
+    )
+    rated = lfm.with_products(model, ratings.select("uid", "mid").distinct()).join(listed, ["uid", "mid"], "left_anti")
+    missed = rated.groupBy("uid").agg(F.max("product").alias("missed"))
+    full = (F.col("n") == F.col("last")) & (F.col("off") < 1e-4) & (F.col("negative") == 0)
+    none_better = F.coalesce(F.col("missed") <= F.col("least") + 1e-4, F.lit(True))
+    return lists.join(missed, "uid", "left").select("uid", (full & none_better).alias("ok"))
+
+
+@query
+def als_unseen_recs_hold(spark, sf):
+    """Users whose unseen lists have no gap and hold nothing that the user has rated."""
+    ratings = _ratings(spark, sf)
+    listed = lfm.unseen_user_recs(lfm.fit_als(ratings, rank=ALS_RANK), ratings)
+    marked = listed.join(ratings.select("uid", "mid", F.lit(1).alias("seen")).distinct(), ["uid", "mid"], "left")
+    return marked.groupBy("uid").agg(
+        ((F.count(F.lit(1)) == F.max("rank")) & (F.count("seen") == 0)).alias("ok")
+    )
+
+
+@query
+def als_item_similarity_hold(spark, sf):
+    """Movie lists hold the cosines of the factors, ranked without gaps."""
+    model = lfm.fit_als(_ratings(spark, sf), rank=ALS_RANK)
+    factors = stored(spark, lfm.item_factors(model).select("mid", F.col("features").cast("array<double>").alias("v")), "factors")
+    unit = factors.withColumn("v", vectors.scale(F.col("v"), 1 / vectors.l2_norm(F.col("v"))))
+    listed = lfm.factor_similarity(lfm.item_factors(model), min_score=-2.0, top_k=20)
+    both = listed.join(unit, "mid").join(unit.toDF("other_mid", "w"), "other_mid")
+    cosine = F.aggregate(F.zip_with("v", "w", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    return both.groupBy("mid").agg(
+        ((F.count(F.lit(1)) == F.max("rank")) & (F.max(F.abs(cosine - F.col("score"))) < 1e-6)).alias("ok")
+    )
+
+
+@query
+def als_predicted_pairs(spark, sf):
+    """Pairs that get a prediction: held-out ones whose user and movie were trained on."""
+    split = lfm.hash_split(_ratings(spark, sf))
+    model = lfm.fit_als(split.where("is_train"), rank=ALS_RANK)
+    predicted = lfm.predict_pairs(model, split.where("not is_train").select("uid", "mid", "score"))
+    return predicted.where("prediction is not null and not isnan(prediction)").groupBy("uid", "mid").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@query
+def als_grid_holds(spark, sf):
+    """Every setting once with a finite error, the best one no worse than any."""
+    measured = stored(spark, _grid(spark, sf), "grid")
+    best = lfm.best_setting(measured).select(F.col("rmse").alias("least"))
+    sound = (F.col("rmse") > 0) & (F.col("rmse") < 5) & (F.col("rmse") >= F.col("least"))
+    return measured.join(F.broadcast(best)).select("rank", F.col("lambda"), sound.alias("ok"))
+
+
 def _predicted(ratings):
     value = (1 + F.pmod(F.col("uid") * 7 + F.col("mid") * 13, F.lit(5))).cast("double")
     return ratings.select("uid", "mid", value.alias("prediction"))

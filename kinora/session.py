@@ -1,6 +1,7 @@
 """Session helper and the shared scratch location."""
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -30,10 +31,12 @@ def build_session(app="kinora", master=None, **conf):
 def shared_dir(spark):
     """The cluster's shared folder from ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local tests) a fresh temporary folder is set instead.
+    A local session without one gets a fresh temporary folder.  On a cluster that would be another folder on every
+    machine, so there the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        check_local(spark.sparkContext.master)
         root = tempfile.mkdtemp(prefix="kinora-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -41,6 +44,19 @@ def shared_dir(spark):
     return root
 
 
+def check_local(master):
+    """Raise unless ``master`` runs driver and executors on one machine's own folders."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+
+
+def release(spark, *paths):
+    """Delete scratch folders (paths of :func:`scratch_path`) whose tables are no longer read."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def scratch_path(spark, name):
     """A new path under the shared folder; never reused between runs."""
     return os.path.join(shared_dir(spark), "kinora", f"{name}-{uuid.uuid4().hex}")

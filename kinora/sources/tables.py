@@ -1,18 +1,20 @@
 """Batch tables: typed loaders, nested result lists, overwrite sink."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from kinora.operators.topk import from_nested
 from kinora.schema import MOVIE, MOVIE_RECS, RATING
 
 
 def conform(df, schema):
-    """Select and cast to the given shape; missing text columns become empty."""
+    """Select and cast to the given shape; values that do not fit and missing columns become null, missing text empty."""
     columns = []
     for field in schema.fields:
         present = field.name in df.columns
-        value = F.col(f"`{field.name}`") if present else F.lit("")
-        columns.append(value.cast(field.dataType).alias(field.name))
+        missing = F.lit("") if field.dataType == StringType() else F.lit(None)
+        value = F.col(f"`{field.name}`") if present else missing
+        columns.append(value.try_cast(field.dataType).alias(field.name))
     return df.select(*columns)
 
 

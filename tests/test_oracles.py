@@ -5,8 +5,8 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
-
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+from kinora.oracles import ORACLES as SQL
+from kinora.queries import QUERIES
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -34,6 +34,7 @@ def test_matches_sql(spark, sf, duck, name):
 
 
 def test_registry_is_consistent():
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
     assert set(SQL) <= set(QUERIES)
     assert {n for n in QUERIES if n not in SQL} == {
         "als_user_recs", "als_unseen_user_recs", "als_item_similarity", "als_predict_pairs",

@@ -1,0 +1,69 @@
+"""Scratch folders and robust input."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from kinora.functions.dates import naive_seconds
+from kinora.operators.pairs import dense_pairs, pair_products
+from kinora.plans import demographic, usercf
+from kinora.session import check_local, release, scratch_path
+from kinora.sources.tables import clean_ratings
+
+
+@pytest.mark.parametrize("master", ["local", "local[8]", "local[*]", "local[2,3]"])
+def test_local_sessions_may_use_a_temporary_folder(master):
+    check_local(master)
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"])
+def test_clusters_must_name_the_shared_folder(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        check_local(master)
+
+
+def test_release_deletes(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    release(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_bad_values_become_null_and_drop_out(spark):
+    rows = spark.createDataFrame([("1", "2", "3.5", "9"), ("1", "2", "x", "9"), ("y", "2", "1", "9")], "uid string, mid string, score string, timestamp string")
+    assert [tuple(r) for r in clean_ratings(rows).collect()] == [(1, 2, 3.5, 9)]
+    assert clean_ratings(rows.drop("timestamp")).first()["timestamp"] is None
+
+
+def test_late_years(spark):
+    row = spark.sql("select timestamp_ntz'2040-01-01 00:00:00' a, timestamp_ntz'2030-01-01 00:00:01' b")
+    assert tuple(row.select(naive_seconds(F.col("a")), naive_seconds(F.col("b"))).first()) == (None, 1893456001)
+
+
+def test_profiles_do_not_collide(spark):
+    profiles = spark.createDataFrame([(1, "x|y", "z"), (1, "x|y", "z"), (2, "x", "y|z"), (3, None, "q"), (4, "q", None)], "uid int, a string, b string")
+    ratings = spark.createDataFrame([(2, 7, 5.0), (4, 8, 5.0)], "uid int, mid int, score double")
+    assert demographic.recommend(profiles, ratings, ["a", "b"]).collect() == []
+    peers = spark.createDataFrame([(1, None, "q"), (1, None, "q"), (3, None, "q")], "uid int, a string, b string")
+    rated = spark.createDataFrame([(3, 7, 5.0)], "uid int, mid int, score double")
+    assert [tuple(r)[:3] for r in demographic.recommend(peers, rated, ["a", "b"]).collect()] == [(1, 1, 7)]
+
+
+@pytest.mark.parametrize("rows_per_task", [None, 1, 2, 100])
+@pytest.mark.parametrize("block_size", [1, 2, 3072])
+def test_cancelling_weights_give_the_same_pairs(spark, rows_per_task, block_size):
+    data = [(1, 1, 1.0), (1, 2, 1.0), (2, 1, 1.0), (2, 2, -1.0), (1, 3, 2.0), (2, 3, 2.0), (3, 4, 1.0), (3, 3, -1.0)]
+    rows = spark.createDataFrame(data, "g int, e int, w double")
+    scales = rows.groupBy("e").agg(F.sum(F.col("w") * F.col("w")).alias("scale"))
+    got = pair_products(rows, scales, rows_per_task=rows_per_task, block_size=block_size)
+    assert {(r["e"], r["f"], r["dot"]) for r in got.collect()} == {(1, 3, 4.0), (3, 1, 4.0), (3, 4, -1.0), (4, 3, -1.0)}
+
+
+def test_vectors_with_nan_are_left_out(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [float("nan"), 1.0])], "e int, vec array<double>")
+    assert {(r["e"], r["f"]) for r in dense_pairs(rows, top_k=5).collect()} == {(1, 2), (2, 1)}
+
+
+def test_closeness_that_cancels_gives_no_score(spark):
+    ratings = spark.createDataFrame([(1, 1, 1.0), (1, 2, 1.0), (2, 1, 1.0), (2, 3, 2.0), (3, 2, -1.0), (3, 3, 4.0)], "uid int, mid int, score double")
+    assert all(r["score"] is not None for r in usercf.recommend(ratings).collect())
