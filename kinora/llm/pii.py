@@ -73,11 +73,13 @@ def with_matches(df, name, text, pattern, needs=None):
         matches = F.when(F.contains(text, F.lit(needs)), matches)
     df = df.withColumn("_m", matches)
     m = F.col("_m")
+    # Columns that lambdas read are read outside them too: Spark copies a column that is read once into its reader,
+    # and in a lambda it would be computed for every element.
     df = df.withColumn("_p", F.when(F.size(m) > 0, F.split(text, pattern, -1)))
     df = df.withColumn(
         "_z",
         F.transform(
-            F.when(F.size(m) > 0, m),
+            F.when((F.size(m) > 0) & (F.size("_p") > 0), m),
             lambda x, i: F.struct(F.length(F.get("_p", i)).alias("gap"), F.length(x).alias("len"), x.alias("match")),
         ),
     )
@@ -97,7 +99,7 @@ def with_matches(df, name, text, pattern, needs=None):
     spans = F.flatten(
         F.transform("_c", lambda part, c: F.aggregate(part, F.struct(F.get("_s", c).alias("at"), none.alias("spans")), place)["spans"])
     )
-    return df.withColumn(name, F.coalesce(spans, none)).drop("_m", "_p", "_z", "_c", "_s")
+    return df.withColumn(name, F.when(F.size("_s") > 0, F.coalesce(spans, none)).otherwise(none)).drop("_m", "_p", "_z", "_c", "_s")
 
 
 def _spans_of(matches, kind, rank):
@@ -117,7 +119,9 @@ def with_base(df, text):
         df = with_matches(df, f"_{kind}", text, F.lit(PATTERNS[kind]), NEEDS.get(kind))
         df = df.withColumn(f"_{kind}", _spans_of(f"_{kind}", kind, rank))
     found = [f"_{kind}" for kind in KINDS]
-    return df.withColumn("base", F.sort_array(F.concat(*found))).drop(*found)
+    # The row number keeps Spark from moving filters on the result, and with them copies of all these steps, below it.
+    columns = [c for c in df.columns if c not in found]
+    return df.select(*columns, F.sort_array(F.concat(*found)).alias("base"), F.monotonically_increasing_id().alias("_row"))
 
 
 def written(spans):
@@ -199,7 +203,8 @@ def find(rows, generalise=GENERALISE, remove=REMOVE):
     """``rows`` (any columns, with ``text``) with ``base`` and ``spans``: base spans, and those with the method's added."""
     spark = rows.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = with_base(rows, text).withColumn("tid", F.when(F.size("base") > 0, F.sha2(text, 256)))
+    named = (F.size("base") > 0) & (F.col("_row") >= 0)
+    found = with_base(rows, text).withColumn("tid", F.when(named, F.sha2(text, 256))).drop("_row")
     private = stored(spark, found.where("tid is not null"), "private")
     telling = _telling_terms(spark, private.select("tid", "text", "base"), rows, generalise, remove)
     terms = stored(spark, _term_spans(telling), "term-spans")
