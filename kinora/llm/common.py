@@ -20,10 +20,13 @@ def keyed_text(df, key="doc_id", text="text"):
     return df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
-def stored(spark, df, name, compression="zstd"):
-    """Write once to the shared folder and read back: cuts the lineage and survives lost executors."""
+def stored(spark, df, name, compression="zstd", files=None):
+    """Write once to the shared folder and read back: cuts the lineage and survives lost executors.
+
+    ``files``: most tasks of the write, for tables known to be small.
+    """
     path = scratch_path(spark, name)
-    df.write.option("compression", compression).parquet(path)
+    (df.coalesce(files) if files else df).write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

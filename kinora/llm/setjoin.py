@@ -37,7 +37,7 @@ from kinora.llm.packing import _runs
 WORDS, SHARE = 5, (80, 100)
 CHUNK = 8192
 RUN_AT_ONCE = 65_536
-MOST_LIGHT = 24
+MOST_LIGHT, MOST_SUBSETS = 24, 500
 #: What a row of an inverted list costs against a subset row: its list is compared, its pairs are verified.
 LIST_COST = 4
 CLASS_GROWTH = 1.5
@@ -46,22 +46,27 @@ MAX_CACHED_WORDS = 500_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+class _Codes(dict):
+    """Word -> its hash, worked out once."""
+
+    def __missing__(self, word):
+        code = self[word] = xxhash.xxh64_intdigest(word)
+        return code
+
+
 class Sets:
     """Shingle sets of texts as sorted distinct 64-bit hashes."""
 
     def __init__(self, words):
-        self.size, self.known = words, {}
+        self.size, self.known = words, _Codes()
 
     def __call__(self, text):
         words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
         if not words:
             return np.zeros(0, np.uint64)
         if len(self.known) > MAX_CACHED_WORDS:
-            self.known = {}
-        known = self.known
-        for word in [w for w in set(words) if w not in known]:
-            known[word] = xxhash.xxh64_intdigest(word)
-        codes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+            self.known = _Codes()
+        codes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
         size = min(self.size, len(codes))
         hashes = np.full(len(codes) - size + 1, size, np.uint64)
         for i in range(size):
@@ -77,9 +82,8 @@ def digest(hashes):
 class Scheme:
     """Size classes, blocks and subsets for linking at ``num / den``."""
 
-    def __init__(self, share, boundary):
+    def __init__(self, share):
         self.num, self.den = share
-        self.boundary = boundary
 
     def size_class(self, n):
         i = max(0, math.ceil(math.log(n, CLASS_GROWTH)) - 1)
@@ -139,9 +143,9 @@ class Scheme:
                 out.append((c, int(mix(total - parts[list(left)].sum(dtype=np.uint64) + np.uint64(c)).astype(np.int64))))
         return out
 
-    def is_listed(self, n):
-        """Whether a set is in the inverted lists: heavy, or so near the boundary that a heavy one may link to it."""
-        return n > self.boundary or n * self.den // self.num > self.boundary
+    def most_light(self):
+        """Largest set whose subsets are worth listing at all."""
+        return max(n for n in range(1, MOST_LIGHT + 1) if self.cost(n, True) <= MOST_SUBSETS)
 
     def cost(self, n, light):
         if light:
@@ -149,11 +153,10 @@ class Scheme:
         return LIST_COST * sum(self.blocks(i)[0] for i in self.classes(n))
 
 
-def choose_boundary(sizes, share):
-    """Largest light size, given {size: sets} of the sizes up to ``MOST_LIGHT``."""
-    scheme = Scheme(share, 0)
+def choose_boundary(sizes, scheme):
+    """Largest light size, given {size: sets} of the sizes up to ``most_light``."""
     return min(
-        range(MOST_LIGHT + 1),
+        range(scheme.most_light() + 1),
         key=lambda x: (sum(count * scheme.cost(n, n <= x) for n, count in sizes.items()), x),
     )
 
@@ -172,23 +175,10 @@ def _mapped(spark, df, fn, schema):
     return df.mapInArrow(run, schema)
 
 
-def _sized(rows, words):
-    def run(arrow):
-        sets = once_per_worker(f"sets {words}", lambda: Sets(words))
-        for batch in arrow:
-            found = [sets(t) for t in batch.column(1).to_pylist()]
-            names = [digest(h) if len(h) else None for h in found]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(h) for h in found], pa.int64()), pa.array(names, pa.int64())],
-                names=["doc_id", "n_shingles", "node"],
-            )
-
-    return _mapped(rows.sparkSession, rows, run, "doc_id long, n_shingles long, node long")
-
-
-def _keyed(rows, words, scheme):
+def _keyed(rows, words, scheme, most_light):
+    """One row per document: doc_id, n_shingles, node, and what the node's lists, subsets and bitmap are."""
     subset = pa.list_(pa.struct([("size", pa.int32()), ("key", pa.int64())]))
-    kinds = {"doc_id": pa.int64(), "node": pa.int64(), "n": pa.int64(), "lists": pa.list_(pa.int64()), "subsets": subset, "bitmap": pa.binary()}
+    kinds = {"doc_id": pa.int64(), "n_shingles": pa.int64(), "node": pa.int64(), "lists": pa.list_(pa.int64()), "subsets": subset, "bitmap": pa.binary()}
 
     def run(arrow):
         sets = once_per_worker(f"sets {words}", lambda: Sets(words))
@@ -196,20 +186,14 @@ def _keyed(rows, words, scheme):
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 h = sets(text)
-                if doc_id is None or not len(h):
+                if not len(h):
+                    out.append((doc_id, 0, None, None, None, None))
                     continue
-                listed, light = scheme.is_listed(len(h)), len(h) <= scheme.boundary
-                out.append(
-                    (
-                        doc_id, digest(h), len(h),
-                        scheme.list_keys(h) if listed else [],
-                        [{"size": c, "key": k} for c, k in scheme.subsets(h)] if light else [],
-                        scheme.bitmap(h) if listed else None,
-                    )
-                )
+                subsets = [{"size": c, "key": k} for c, k in scheme.subsets(h)] if len(h) <= most_light else None
+                out.append((doc_id, len(h), digest(h), scheme.list_keys(h), subsets, scheme.bitmap(h)))
             yield _columns(batch, kinds, zip(*out) if out else [[] for _ in kinds])
 
-    schema = "doc_id long, node long, n long, lists array<long>, subsets array<struct<size:int,key:long>>, bitmap binary"
+    schema = "doc_id long, n_shingles long, node long, lists array<long>, subsets array<struct<size:int,key:long>>, bitmap binary"
     return _mapped(rows.sparkSession, rows, run, schema)
 
 
@@ -393,20 +377,25 @@ def groups(docs, key="doc_id", text="text", words=WORDS, share=SHARE):
     """
     spark = docs.sparkSession
     rows = keyed_text(docs, key, text)
-    members = stored(spark, _sized(rows, words), "sets")
-    small = members.where(f"n_shingles between 1 and {MOST_LIGHT}").groupBy("n_shingles").agg(F.count_distinct("node").alias("sets"))
-    scheme = Scheme(share, choose_boundary({r["n_shingles"]: r["sets"] for r in small.collect()}, share))
+    num, den = share
+    scheme = Scheme(share)
+    light_at_most = scheme.most_light()
+    members = stored(spark, _keyed(rows, words, scheme, light_at_most), "sets")
+    small = members.where(F.col("n_shingles").between(1, light_at_most)).groupBy("n_shingles").agg(F.count_distinct("node").alias("sets"))
+    boundary = choose_boundary({r["n_shingles"]: r["sets"] for r in small.collect()}, scheme)
     nodes = stored(
         spark,
-        _keyed(rows, words, scheme)
+        members.where("doc_id is not null and node is not null")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n", "lists", "subsets", "bitmap"))),
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), *(F.first(c).alias(c) for c in ("lists", "subsets", "bitmap"))),
         "nodes",
     )
+    # Heavy sets, and light ones that a heavy set may link to.
+    listed = nodes.where(F.greatest(F.col("n"), F.floor(F.col("n") * den / num)) > boundary)
     lists = stored(
         spark,
         _listed(
-            nodes.select(F.explode("lists").alias("key"), "node")
+            listed.select(F.explode("lists").alias("key"), "node")
             .repartition(partitions(spark), "key")
             .sortWithinPartitions("key", "node")
         ),
@@ -414,10 +403,9 @@ def groups(docs, key="doc_id", text="text", words=WORDS, share=SHARE):
     )
     long = stored(spark, lists.where("list is not null").select("list", F.col("a").alias("node")).distinct(), "long")
     # Light: a star around the smallest set of each subset; larger sums than the subset can join do not link.
-    subset = nodes.select("node", "n", F.inline("subsets")).withColumnRenamed("size", "c")
+    subset = nodes.where(F.col("n") <= boundary).select("node", "n", F.inline("subsets")).withColumnRenamed("size", "c")
     heads = subset.groupBy("c", "key").agg(F.min(F.struct("n", "node")).alias("head"), F.count(F.lit(1)).alias("sets"))
     heads = stored(spark, heads.where("sets > 1").select("c", "key", F.col("head.n").alias("m"), F.col("head.node").alias("a")), "heads")
-    num, den = share
     light = subset.join(heads, ["c", "key"]).where((F.col("a") != F.col("node")) & (F.col("c") * (num + den) >= num * (F.col("m") + F.col("n"))))
     first = (
         lists.where("list is null").select("a", "b")
