@@ -298,3 +298,10 @@ GROUP BY uid, mid""",
     als_grid_holds=f"""SELECT CAST(r AS INTEGER) AS rank, CAST(l AS DOUBLE) AS lambda, true AS ok
 FROM (SELECT unnest([{', '.join(map(str, GRID_RANKS))}]) AS r), (SELECT unnest([0.01, 0.1, 1.0]) AS l)""",
 )
+
+ORACLES.update(
+    rating_chain=_with(EVENTS, LINES, """
+SELECT event_id, uid, mid, score, "timestamp" FROM rating_events JOIN lines USING (event_id) WHERE rated"""),
+    rating_rejects="""
+SELECT event_id, 'INFO app - ' || event_type AS value FROM events WHERE event_type IN ('error', 'signup')""",
+)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from kinora.functions import vectors
-from kinora.functions.text import rating_fields, recent_fields
+from kinora.functions.text import after_marker, rating_fields, recent_fields
 from kinora.operators.similar import ItemSimilarity
 from kinora.operators.topk import to_nested
 from kinora.plans import content, demographic, itemcf, lfm, realtime, search, statistics, usercf
@@ -398,17 +398,32 @@ def log_filter(spark, sf):
     events = fx.table(spark, sf, "events")
     stream = streams.file_source(spark, f"{sf}/events*.parquet", events.schema)
     out = scratch_path(spark, "forwarded")
-    forwarded = streams.ratings_from_log(fx.events_as_log_lines(stream))
+    forwarded = streams.ratings_from_log(fx.events_as_log_lines(stream)).select("key", "value")
     streams.start_file_sink(
         forwarded, out, scratch_path(spark, "log-filter"), availableNow=True
     ).awaitTermination()
     return spark.read.schema("key string, value string").parquet(out)
 
 
+@query
+def rating_chain(spark, sf):
+    """From log lines to rating events, in one go."""
+    ratings, _ = streams.rating_chain(fx.events_as_log_lines(fx.table(spark, sf, "events")))
+    return ratings
+
+
+@query
+def rating_rejects(spark, sf):
+    """What the parser turns away when the filter is left out: the lines that announce no rating."""
+    lines = fx.events_as_log_lines(fx.table(spark, sf, "events"))
+    text = F.col("value")
+    return streams.rejected_ratings(lines.withColumn("value", F.coalesce(after_marker(text), text)))
+
+
 @query
 def rating_parse(spark, sf):
     lines = fx.events_as_log_lines(fx.table(spark, sf, "events"))
-    fields = rating_fields(F.element_at(F.split("value", ": ?"), -1))
+    fields = rating_fields(after_marker(F.col("value")))
     parsed = lines.select("event_id", *fields)
     # Fields that cannot be parsed are shown as -1.
     return parsed.fillna(-1)

@@ -57,12 +57,13 @@ def as_message(event):
 
 def events_as_log_lines(events):
     """Raw application log: rating events carry the marker, other events do not."""
-    rated = events_as_ratings(events.where(F.col("event_type").isin("view", "purchase", "click")))
+    is_rated = F.coalesce(F.col("event_type").isin("view", "purchase", "click"), F.lit(False))
+    rated = events_as_ratings(events.where(is_rated))
     lines = rated.select(
         "event_id",
         F.concat(F.lit("INFO app - "), F.lit(RATING_MARKER), F.lit(" "), as_message(rated)).alias("value"),
     )
-    plain = events.where(F.col("event_type").isin("error", "signup")).select(
-        "event_id", F.concat(F.lit("INFO app - "), F.col("event_type")).alias("value")
+    plain = events.where(~is_rated).select(
+        "event_id", F.concat(F.lit("INFO app - "), F.coalesce("event_type", F.lit(""))).alias("value")
     )
     return lines.unionByName(plain)

@@ -53,18 +53,34 @@ def _parsed(messages):
 
 
 def ratings_from_log(lines, stamp=False):
-    """Log lines (value) -> (key, value) rows with the text after the marker.
+    """Log lines (value) -> (key, value) rows with the text after the marker, and ``event_id`` where the lines have it.
 
-    Lines with nothing after the marker are left out.  ``stamp`` adds the processing time.
+    Lines with nothing after the marker go to :func:`rejected_lines`.  ``stamp`` adds the processing time.
     """
     text = F.col("value").cast("string")
+    named = ["event_id"] if "event_id" in lines.columns else []
     forwarded = lines.where(has_marker(text)).select(
-        F.lit(FORWARD_KEY).alias("key"), after_marker(text).alias("value")
+        *named, F.lit(FORWARD_KEY).alias("key"), after_marker(text).alias("value")
     )
     forwarded = forwarded.where(F.length("value") > 0)
     return forwarded.withColumn("processed_at", F.current_timestamp()) if stamp else forwarded
 
 
+def rejected_lines(lines):
+    """The lines whose marker has nothing after it, as they are."""
+    text = F.col("value").cast("string")
+    return lines.where(has_marker(text) & (F.length(after_marker(text)) == 0))
+
+
+def rating_chain(lines):
+    """Log lines (event_id, value) -> typed rating events, and the rejects (event_id, stage, value) of both steps."""
+    messages = ratings_from_log(lines)
+    rejects = rejected_lines(lines).select("event_id", F.lit("filter").alias("stage"), "value").unionByName(
+        rejected_ratings(messages).select("event_id", F.lit("parse").alias("stage"), "value")
+    )
+    return parse_ratings(messages), rejects
+
+
 def start_kafka_sink(rows, servers, checkpoint, topic=RATING_TOPIC, interval="2 seconds"):
     """Forward (key, value) rows to a topic; needs the Kafka connector on the class path."""
     return (

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from kinora.plans.realtime import RECENT_RATINGS, recommendations
 from kinora.schema import RATING_EVENT
+from kinora.session import stored
 from kinora.sources.tables import overwrite
 from kinora.streaming.recent import OUTPUT_SCHEMA, STATE_SCHEMA, fold_recent, newest_per_user
 
@@ -73,14 +74,52 @@ def _start(rows, handle, checkpoint, trigger):
     )
 
 
-def current(spark, path):
-    """Newest row per user of an append log."""
+def _files(spark, path):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def batches(spark, path):
+    """Numbers of the micro-batches in an append log; none before the first one is written."""
+    files, where = _files(spark, path)
+    if not files.exists(where):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(where)]
+    return sorted(int(name.removeprefix("batch_id=")) for name in names if name.startswith("batch_id="))
+
+
+def current(spark, path, schema=None):
+    """Newest row per user of an append log.
+
+    ``schema`` (columns of a row, without batch_id) makes a log without batches an empty table.
+    """
+    if schema is not None and not batches(spark, path):
+        return spark.createDataFrame([], schema)
     log = spark.read.parquet(path)
     value = F.struct(*[c for c in log.columns if c not in ("uid", "batch_id")])
     newest = log.groupBy("uid").agg(F.max_by(value, "batch_id").alias("value"))
     return newest.select("uid", "value.*")
 
 
+def compact_in_place(spark, path):
+    """Fold all batches but the newest into one, under the path that readers use.
+
+    The newest batch is left alone: its micro-batch may be repeated.  The folded rows are written in place of the newest
+    of the folded batches before the older ones go, so a reader sees the same newest rows at any time.
+    """
+    folded = batches(spark, path)[:-1]
+    if len(folded) < 2:
+        return
+    *older, last = folded
+    log = spark.read.parquet(path).where(F.col("batch_id") <= last)
+    value = F.struct(*[c for c in log.columns if c not in ("uid", "batch_id")])
+    newest = log.groupBy("uid").agg(F.max_by(value, "batch_id").alias("value")).select("uid", "value.*")
+    _write_batch(stored(spark, newest, "folded"), path, last)
+    for batch in older:
+        files, where = _files(spark, f"{path}/batch_id={batch}")
+        files.delete(where, True)
+
+
 def compact(spark, path, target):
     """Write the current view of an append log as a log of one batch under a new path."""
     _write_batch(current(spark, path), target, 0)
