@@ -13,8 +13,9 @@ def quality_rules(spark, docs, sf_dir):
 
 
 def toxic_documents(spark, docs, sf_dir):
-    """Documents that score below the toxicity cutoff; all labels are learnt from."""
-    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    """Documents that score below the toxicity cutoff, learnt from the labels outside the held-out fold."""
+    labels = read(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~toxicity.held_out()))
     return toxicity.filtered(docs, model, TOXIC_FROM)
 
 

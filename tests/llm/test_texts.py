@@ -6,6 +6,7 @@ import re
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from kinora.llm import imatch, licenses, pii, quality, setjoin, toxicity, urls
@@ -368,14 +369,57 @@ def test_query_columns(spark, sf):
     assert QUERIES["op1_url_verdicts"](spark, sf).count() == spark.read.parquet(f"{sf}/pages.parquet").count()
 
 
-def test_pipeline(spark, sf):
+def test_pipeline(spark, sf, monkeypatch):
+    """Every stage against brute force on what its predecessor kept."""
     import corpus_pipeline
-
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    columns, before = docs.columns, docs.count()
+    from test_tokens import WORDS as TOKENIZER
+    from tokenizers import Tokenizer
+
+    models = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda *args: models.append(train(*args)) or models[-1])
+    docs, columns = spark.read.parquet(f"{sf}/documents.parquet"), None
+    texts = {}
     for name, stage in corpus_pipeline.STAGES:
+        before, columns = texts or {r["doc_id"]: r["text"] for r in docs.collect()}, columns or docs.columns
         docs = corpus_pipeline.stored(spark, stage(spark, docs, sf), f"test-{name}")
+        rows = docs.collect()
         if name != "packing":
-            assert docs.columns == columns and 0 < docs.count() <= before, name
-            before = docs.count()
-    assert docs.select("doc_id").distinct().count() == before
+            assert docs.columns == columns
+            texts = {r["doc_id"]: r["text"] for r in rows}
+            assert len(rows) == len(texts) and set(texts) <= set(before)
+        if name == "quality":  # too few labels here to prove a cutoff
+            assert set(texts) == {i for i, t in before.items() if not base_counts(t)[-1]}
+        if name == "toxicity":
+            weights = dict(zip(models[0].buckets.tolist(), models[0].weights.tolist()))
+            grams = toxicity.Grams()
+            with np.errstate(over="ignore"):
+                odds = {i: models[0].intercept + sum(weights.get(g, 0.0) for g in set(grams(t).tolist())) for i, t in before.items()}
+            assert set(texts) == {i for i, x in odds.items() if 1 / (1 + math.exp(-x)) < 0.3}
+        if name == "near_duplicates":
+            assert set(texts) == {i for i, (_, root) in brute_groups(list(before.items()), 5, 80, 100).items() if root == i}
+        if name == "personal_data":
+            assert set(texts) == set(before)
+            for i, t in before.items():
+                spans = base_spans(t)
+                assert (texts[i] == t) == (not spans)
+                assert all(t[s:e] not in texts[i] for s, _, e, kind in spans if kind == "email")
+                assert all(r["n_chars"] == len(r["text"]) for r in rows)
+    tokenizer = Tokenizer.from_str(TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    covered = Counter()
+    for r in rows:
+        covered[r["doc_id"]] += r["length"]
+        assert r["doc_tokens"] == len(tokenizer.encode(before[r["doc_id"]], add_special_tokens=False).ids) + 1
+    assert covered == {r["doc_id"]: r["doc_tokens"] for r in rows} and set(covered) == set(before)
+
+
+def test_gram_sets():
+    """Distinct n-grams against a plain loop over the text."""
+    grams, text = toxicity.Grams(), "Ab cab CAB é\U0001f600"
+    low_text = text.lower()
+    count = len({low_text[i : i + n] for n in toxicity.SIZES for i in range(len(low_text) - n + 1)})
+    with np.errstate(over="ignore"):
+        found = grams(text)
+        assert len(found) == len(set(found.tolist())) == count
+        assert set(grams("xyz").tolist()) == set(grams("XYZ").tolist()) and len(grams("xy")) == 0
