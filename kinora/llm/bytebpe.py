@@ -24,10 +24,12 @@ import tiktoken
 import zstandard
 from pyspark.sql import functions as F
 
-from kinora.llm.common import keyed_text, partitions, stored
+from kinora.llm.common import keyed_text, once_per_worker, partitions, stored
 from kinora.llm.packing import _runs
 
 BLOCK_CHARS = 8_000_000
+#: Pieces of text that a worker remembers from block to block.
+MAX_PIECES = 500_000
 #: A space that belongs to a run of white space: such texts are split as a whole.
 SPACE_RUN = regex.compile(r" \s")
 
@@ -42,8 +44,16 @@ def read_ranks(text):
     return {base64.b64decode(token): int(rank) for token, rank in map(str.split, text.splitlines())}
 
 
+class _Numbers(dict):
+    """Word -> its number in order of appearance, as 4 bytes."""
+
+    def __missing__(self, word):
+        number = self[word] = len(self).to_bytes(4, "little")
+        return number
+
+
 class Splitter:
-    """Pre-tokens of texts as positions in a growing list of distinct words.
+    """Pre-tokens of texts as numbers in a growing list of distinct words.
 
     A space before a non-space always starts a pre-token, so texts are cut there and each distinct piece is matched
     once.
@@ -51,7 +61,7 @@ class Splitter:
 
     def __init__(self, pattern):
         self.pattern = regex.compile(pattern)
-        self.words, self.inner, self.first = {}, {}, {}
+        self.words, self.inner, self.first = _Numbers(), {}, {}
 
     def positions(self, text):
         if SPACE_RUN.search(text):
@@ -64,8 +74,7 @@ class Splitter:
         return self.first[head] + b"".join(map(self.inner.__getitem__, rest))
 
     def _match(self, text):
-        words = self.words
-        return np.array([words.setdefault(w, len(words)) for w in self.pattern.findall(text)], "<u4").tobytes()
+        return b"".join(map(self.words.__getitem__, self.pattern.findall(text)))
 
 
 def _blocks(arrow, pattern, block_chars):
@@ -73,8 +82,12 @@ def _blocks(arrow, pattern, block_chars):
 
     def close():
         flat = np.frombuffer(b"".join(parts), "<u4")
-        order = np.argsort(-np.bincount(flat, minlength=len(splitter.words)), kind="stable")
-        place = np.empty(len(order), "<u4")
+        times = np.bincount(flat, minlength=len(splitter.words))
+        first = np.zeros(len(times), np.int64)
+        first[flat[::-1]] = np.arange(len(flat))[::-1]  # of equal numbers the last, that is the first place, stays
+        own = np.flatnonzero(times)
+        order = own[np.lexsort((first[own], -times[own]))]  # the same for the same texts, whatever came before
+        place = np.zeros(len(times), "<u4")
         place[order] = np.arange(len(order), dtype="<u4")
         listed = list(splitter.words)
         words = [listed[i] for i in order]
@@ -83,7 +96,13 @@ def _blocks(arrow, pattern, block_chars):
         name.update("\0".join(words).encode())
         return name.hexdigest(), keys, counts, place[flat], words
 
-    splitter, keys, parts, chars = Splitter(pattern), [], [], 0
+    def fresh():
+        kept = once_per_worker("splitter", lambda: [Splitter(pattern)], pattern)
+        if len(kept[0].inner) + len(kept[0].first) > MAX_PIECES:
+            kept[0] = Splitter(pattern)
+        return kept[0]
+
+    splitter, keys, parts, chars = fresh(), [], [], 0
     for batch in arrow:
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             keys.append(key)
@@ -91,7 +110,7 @@ def _blocks(arrow, pattern, block_chars):
             chars += len(text)
             if chars >= block_chars:
                 yield close()
-                splitter, keys, parts, chars = Splitter(pattern), [], [], 0
+                splitter, keys, parts, chars = fresh(), [], [], 0
     if keys:
         yield close()
 
