@@ -36,7 +36,7 @@ SPACE_RUN = regex.compile(r" \s")
 POSITIONS = "block string, doc_ids array<long>, counts array<long>, at binary"
 WORDS = "block string, bucket int, words binary, lengths binary, at binary"
 CODED = "block string, at binary, lengths binary, ids binary"
-ENCODED = "doc_id long, n_tokens long, ids array<int>"
+ENCODED = "doc_id long, n_tokens long, ids binary"
 
 
 def read_ranks(text):
@@ -116,7 +116,10 @@ def _blocks(arrow, pattern, block_chars):
 
 
 def encode(docs, ranks_text, pattern, key="doc_id", text="text", block_chars=BLOCK_CHARS, stable=True):
-    """doc_id, n_tokens and ids of each document, each match of ``pattern`` merged by itself, no special tokens."""
+    """doc_id, n_tokens and ids (little-endian unsigned 32-bit) of each document.
+
+    Each match of ``pattern`` is merged by itself; there are no special tokens.
+    """
     spark = docs.sparkSession
     buckets = 2 * partitions(spark)
     rows = keyed_text(docs, key, text)
@@ -220,13 +223,31 @@ def _unpacked(packed):
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def written(df, ids="ids"):
+    """``df`` with ``written``: its ids as decimal numbers joined by one space."""
+    schema = df.withColumn("written", F.lit("")).schema
+
+    def shown(arrow):
+        known = _Decimals().__getitem__
+        for batch in arrow:
+            texts = [" ".join(map(known, np.frombuffer(x or b"", "<u4").tolist())) for x in batch.column(ids).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "written"])
+
+    return df.mapInArrow(shown, schema)
+
+
+class _Decimals(dict):
+    """Id -> its decimal form; as many as the vocabulary has."""
+
+    def __missing__(self, number):
+        text = self[number] = str(number)
+        return text
+
+
 def _documents(keys, ids):
-    counts = np.array([len(i) // 4 for i in ids], np.int64)
-    offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-    values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+    counts = [len(i) // 4 for i in ids]
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int64()), pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), values)],
-        names=["doc_id", "n_tokens", "ids"],
+        [pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"]
     )
 
 
@@ -243,7 +264,7 @@ def decode(df, ranks_text, ids="ids"):
     def joined(arrow):
         table = {i: token for token, i in read_ranks(ranks.value).items()}.__getitem__
         for batch in arrow:
-            texts = [b"".join(map(table, x or ())) for x in batch.column(ids).to_pylist()]
+            texts = [b"".join(map(table, np.frombuffer(x or b"", "<u4").tolist())) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"])
 
     return df.select(*columns).mapInArrow(joined, schema)

@@ -106,7 +106,7 @@ def test_byte_bpe(docs_of, odd, library):
     encoded = bytebpe.encode(docs_of(texts).repartition(2), RANKS, PATTERN, block_chars=40, stable=False)
     got = {}
     for r in bytebpe.decode(encoded, RANKS).collect():
-        got.setdefault(r["doc_id"], []).append((r["n_tokens"], list(r["ids"]), bytes(r["decoded"])))
+        got.setdefault(r["doc_id"], []).append((r["n_tokens"], np.frombuffer(r["ids"], "<u4").tolist(), bytes(r["decoded"])))
     for key, text in texts:
         ids = library(text or "")
         assert (len(ids), ids, (text or "").encode()) in got[key]
