@@ -1,7 +1,8 @@
 """License detection by ordered signature rules.
 
 A text is normalised to lower-case words with single spaces.  Rules are regular expressions over that form, each gated
-by keywords: a rule runs only where all its keywords occur as words.  Detections are intervals of words; among them a
+by keywords: a rule runs only where one keyword of each of its gates occurs as a word.  The gate of a license name is
+completed from the name's pattern, so that every spelling of it has a keyword.  Detections are intervals of words; among them a
 detection inside another one of at least its priority is suppressed (equal intervals and priorities: the earlier rule
 stays), so "gpl version 3" inside "lesser gpl version 3 or later" says nothing of its own.
 
@@ -9,6 +10,7 @@ Defined cases: null and empty texts have no words, no labels and score 0; null a
 phrases are found in the whole text, overlaps included; an empty table gives no rows.
 """
 
+import functools
 import itertools
 import re
 
@@ -143,11 +145,46 @@ class Rule:
         self.gates = [frozenset(k.encode().split()) for k in keywords]  # one of each is needed
 
 
+def spellings(pattern):
+    """Every string that a pattern of plain characters, classes, groups, alternatives and ``?`` matches."""
+
+    def alternatives(i):
+        out, ways = [], [""]
+        while i < len(pattern) and pattern[i] != ")":
+            if pattern[i] == "|":
+                out, ways, i = out + ways, [""], i + 1
+                continue
+            if pattern.startswith("(?:", i):
+                unit, i = alternatives(i + 3)
+            elif pattern[i] == "[":
+                end = pattern.index("]", i)
+                unit, i = list(pattern[i + 1 : end]), end + 1
+            else:
+                unit, i = [pattern[i]], i + 1
+            if pattern.startswith("?", i):
+                unit, i = [*unit, ""], i + 1
+            ways = [a + b for a in ways for b in unit]
+        return out + ways, i + 1
+
+    return alternatives(0)[0]
+
+
+@functools.cache
+def gate_of(pattern, keywords):
+    """The keywords, and the longest word of every spelling of ``pattern`` that has none of them ("gplv1", "agpl3")."""
+    words = set(keywords.split())
+    for spelling in spellings(pattern):
+        own = spelling.split()
+        if words.isdisjoint(own):
+            words.add(max(own, key=len))
+    return " ".join(sorted(words))
+
+
 def rules():
     """The rules in order: sentences, then every license in every form."""
     out = [Rule(label, p, [k], SENTENCE_PRIORITY, SENTENCE_CONFIDENCE) for label, p, k in SENTENCES]
     for (form, before, after, gate, priority, confidence), (label, name, keywords) in itertools.product(FORMS, LICENSES):
-        out.append(Rule(label, f"{before}(?:{name}){after}", [keywords, gate], priority, confidence))
+        out.append(Rule(label, f"{before}(?:{name}){after}", [gate_of(name, keywords), gate], priority, confidence))
     return out
 
 
