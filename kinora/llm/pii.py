@@ -154,7 +154,6 @@ def _telling_terms(spark, private, rows, generalise, remove):
     terms = (
         texts.join(named.select("tid").distinct(), "tid", "left_semi")
         .select("tid", F.explode(words_of(F.col("text"))).alias("term"))
-        .where(F.length("term") > 2)
         .join(corpus, "term")
     )
     p_c = F.col("df_c") / F.lit(total)
