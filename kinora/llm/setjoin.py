@@ -176,7 +176,11 @@ def _mapped(spark, df, fn, schema):
 
 
 def _keyed(rows, words, scheme, most_light):
-    """One row per document: doc_id, n_shingles, node, and what the node's lists, subsets and bitmap are."""
+    """One row per document: doc_id, n_shingles, node, and what the node's lists, subsets and bitmap are.
+
+    String columns of ``rows`` after key and text are passed on.
+    """
+    more = rows.columns[2:]
     subset = pa.list_(pa.struct([("size", pa.int32()), ("key", pa.int64())]))
     kinds = {"doc_id": pa.int64(), "n_shingles": pa.int64(), "node": pa.int64(), "lists": pa.list_(pa.int64()), "subsets": subset, "bitmap": pa.binary()}
 
@@ -191,9 +195,11 @@ def _keyed(rows, words, scheme, most_light):
                     continue
                 subsets = [{"size": c, "key": k} for c, k in scheme.subsets(h)] if len(h) <= most_light else None
                 out.append((doc_id, len(h), digest(h), scheme.list_keys(h), subsets, scheme.bitmap(h)))
-            yield _columns(batch, kinds, zip(*out) if out else [[] for _ in kinds])
+            found = _columns(batch, kinds, zip(*out) if out else [[] for _ in kinds])
+            yield pa.RecordBatch.from_arrays([*found.columns, *batch.columns[2:]], names=[*kinds, *more])
 
     schema = "doc_id long, n_shingles long, node long, lists array<long>, subsets array<struct<size:int,key:long>>, bitmap binary"
+    schema += "".join(f", {name} string" for name in more)
     return _mapped(rows.sparkSession, rows, run, schema)
 
 
@@ -375,8 +381,12 @@ def groups(docs, key="doc_id", text="text", words=WORDS, share=SHARE):
 
     Two documents link when their sets of ``words``-word shingles have a Jaccard similarity of at least ``share``.
     """
-    spark = docs.sparkSession
-    rows = keyed_text(docs, key, text)
+    return _grouped(keyed_text(docs, key, text), words, share)
+
+
+def _grouped(rows, words, share):
+    """:func:`groups` of rows of key and text; their further string columns stay."""
+    spark = rows.sparkSession
     num, den = share
     scheme = Scheme(share)
     light_at_most = scheme.most_light()
@@ -435,16 +445,21 @@ def groups(docs, key="doc_id", text="text", words=WORDS, share=SHARE):
         "doc_id",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
+        *rows.columns[2:],
     )
 
 
 def first_of_group(docs, key="doc_id", text="text", words=WORDS, share=SHARE):
-    """``docs`` without the documents that are linked to one of a smaller key; of equal rows one stays.
+    """``docs`` without the documents that are linked to one of a smaller key.
 
-    Rows without a key stay.  Only keys move: the few documents that go are left out by an anti join.
+    A document is its key and its text: of two texts under one key, the one that is linked to a smaller key goes alone.
+    Keys decide which document stays, so rows without a key, and rows of one key that repeat or resemble each other, are
+    not weighed against each other: they stay or go alike.  Only keys and text digests move: the few documents that go are left out by an anti join.
     """
-    grouped = groups(docs, key, text, words, share)
-    gone = stored(docs.sparkSession, grouped.where("component_id != doc_id").select("doc_id").distinct(), "gone")
+    digest_of = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    copies = keyed_text(docs, key, text).withColumn("copy", F.sha2("text", 256))
+    gone = _grouped(copies, words, share).where("component_id != doc_id").select("doc_id", "copy").distinct()
+    gone = stored(docs.sparkSession, gone, "gone")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    rows = docs.select(row, F.col(key).cast("long").alias("id"))
-    return rows.join(gone, F.col("id") == F.col("doc_id"), "left_anti").select("row.*")
+    rows = docs.select(row, F.col(key).cast("long").alias("id"), digest_of.alias("own"))
+    return rows.join(gone, (F.col("id") == F.col("doc_id")) & (F.col("own") == F.col("copy")), "left_anti").select("row.*")
