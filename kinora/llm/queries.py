@@ -1,17 +1,17 @@
 """The queries of this subpackage: each applies an operator to its whole table."""
 
+import zlib
 from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from kinora.llm import bytebpe, idstore, imatch, licenses, packing, pii, quality, setjoin, toxicity, urls
+from kinora.llm import bytebpe, contentsort, idstore, imatch, lexical, licenses, packing, periodic, pii, quality, setjoin, toxicity, urls
 from kinora.llm.common import read
 from kinora.session import scratch_path
 
-#: Folder of the public vocabulary files; never copied into the repository.
-TOKENIZERS = "/opt/tokenizers"
-#: The pattern that splits text before the merges of the rank files (a fixed value of those files).
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The pattern that splits text before the merges of the rank files.
+PATTERN = public_tokenizers.PATTERN
 QUERIES, ORACLES = {}, {}
 
 
@@ -21,7 +21,7 @@ def query(fn):
 
 
 def vocabulary(name):
-    return Path(TOKENIZERS, name).read_text()
+    return Path(public_tokenizers.path(name)).read_text()
 
 
 @query
@@ -111,3 +111,83 @@ URL_RULES = [
 @query
 def op1_url_verdicts(spark, sf):
     return urls.judge(read(spark, sf, "pages"), URL_RULES)
+
+
+@query
+def op11_content_sort(spark, sf):
+    return contentsort.groups(read(spark, sf, "documents"), keep="largest")
+
+
+def looped(key, words):
+    """The fixed edit of the query: one text in ten repeats a stretch of its own to the end.
+
+    With h = crc32 of the decimal key and g = h // 10: if h % 10 = 0, word i >= a becomes word a + (i - a) % p, where
+    a = g % n and p = 1 + (n - a) // (3 + g % 8).  A null key has no decimal form and no edit.
+    """
+    h, n = zlib.crc32(str(key).encode()), len(words)
+    if key is None or not n or h % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@query
+def op12_periodic_runs(spark, sf):
+    found = periodic.find(read(spark, sf, "documents"), edit=looped)
+    best = F.col("best")
+    return found.withColumn("best", periodic.strongest()).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(periodic.written(), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_lexical_search(spark, sf):
+    return lexical.search(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+ORACLES["op11_content_sort"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+#: Terms of a text in SQL.
+_SQL_TERMS = r"""regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+ORACLES["op13_lexical_search"] = f"""
+WITH item_terms AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest({_SQL_TERMS.format(text="text")}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark))
+  GROUP BY item_id, term
+), docs AS (
+  SELECT doc_id, {_SQL_TERMS.format(text="coalesce(text, '')")} AS terms FROM documents
+), totals AS (
+  SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs WHERE len(terms) > 0
+), occurrences AS (
+  SELECT doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM docs) GROUP BY doc_id, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM occurrences, totals WHERE term IN (SELECT term FROM item_terms) GROUP BY term, n_docs
+), scored AS (
+  SELECT item_id, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM item_terms JOIN weights USING (term) JOIN occurrences USING (term), totals
+  GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
