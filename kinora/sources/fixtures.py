@@ -67,3 +67,15 @@ def events_as_log_lines(events):
         "event_id", F.concat(F.lit("INFO app - "), F.coalesce("event_type", F.lit(""))).alias("value")
     )
     return lines.unionByName(plain)
+
+
+def events_as_broken_log_lines(events):
+    """The application log with lines that announce a rating and have none: errors nothing at all, signups no movie."""
+    said = F.when(F.col("event_type") == "error", F.lit("")).when(
+        F.col("event_type") == "signup", F.concat(F.lit(" "), F.col("user_id").cast("string"), F.lit("|signup"))
+    )
+    broken = events.where(F.col("event_type").isin("error", "signup")).select(
+        "event_id", F.concat(F.lit("INFO app - "), F.lit(RATING_MARKER), said).alias("value")
+    )
+    rest = events.where(~F.coalesce(F.col("event_type").isin("error", "signup"), F.lit(False)))
+    return events_as_log_lines(rest).unionByName(broken)

@@ -1,24 +1,38 @@
 """Real-time recommendations: rating stream -> newest ratings per user -> keyed results."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from kinora.plans.realtime import RECENT_RATINGS, recommendations
 from kinora.schema import RATING_EVENT
-from kinora.session import stored
-from kinora.sources.tables import overwrite
+from kinora.sources.streams import rating_chain
+from kinora.streaming import versions
 from kinora.streaming.recent import OUTPUT_SCHEMA, STATE_SCHEMA, fold_recent, newest_per_user
 
 DEFAULT_TRIGGER = {"processingTime": "2 seconds"}
+REJECT_SCHEMA = "event_id long, stage string, value string"
+
+
+def _complete():
+    return reduce(lambda a, b: a & b, (F.col(f.name).isNotNull() for f in RATING_EVENT.fields))
+
+
+def incomplete_events(events):
+    """Rejects (event_id, stage, value): the events that lack a field, as JSON."""
+    fields = F.to_json(F.struct(*(f.name for f in RATING_EVENT.fields)))
+    return events.where(~_complete()).select("event_id", F.lit("event").alias("stage"), fields.alias("value"))
 
 
 def recent_by_user(events, keep=RECENT_RATINGS):
     """Streaming rating events -> one row per user and micro-batch.
 
     The row holds the user's newest event of the micro-batch and the newest ``keep`` ratings so
-    far, in order (timestamp, event_id), whatever the order of arrival.
+    far, in order (timestamp, event_id), whatever the order of arrival.  Events that lack a field are
+    :func:`incomplete_events`.
     """
     columns = [f.name for f in RATING_EVENT.fields]
-    cut = events.select(*columns).dropna().mapInPandas(newest_per_user(keep), RATING_EVENT)
+    cut = events.where(_complete()).select(*columns).mapInPandas(newest_per_user(keep), RATING_EVENT)
     return cut.groupBy("uid").applyInPandasWithState(
         fold_recent(keep), OUTPUT_SCHEMA, STATE_SCHEMA, "append", "NoTimeout"
     )
@@ -30,33 +44,54 @@ def unpack_recents(rows):
     return rows.select("uid", F.inline(zipped))
 
 
-def _write_batch(rows, path, batch_id):
-    # A retried micro-batch overwrites its own folder, so every batch counts once.
-    overwrite(rows, f"{path}/batch_id={batch_id}")
-
-
 def start_recent_lists(events, path, checkpoint, keep=RECENT_RATINGS, **trigger):
-    """Keep an append log of every user's recent list."""
-    return _start(recent_by_user(events, keep), lambda rows, i: _write_batch(rows, path, i), checkpoint, trigger)
+    """Keep a log of every user's recent list."""
+    return _start(recent_by_user(events, keep), lambda rows, i: versions.append(rows, path, i), checkpoint, trigger)
 
 
-def start_recommender(events, similarity, rated, path, checkpoint, keep=RECENT_RATINGS, **trigger):
-    """Write fresh recommendations for every user of each micro-batch.
+def start_recommender(events, similarity, rated, path, checkpoint, keep=RECENT_RATINGS, rejects=None, **trigger):
+    """Write fresh recommendations for every user of each micro-batch to the log ``path``.
 
     ``similarity`` and ``rated`` (uid, item) are functions without arguments: called per
     micro-batch they pick up refreshed tables.  Pass stored tables, they are read every time.
+    ``rejects``: log for the events that lack a field.
+    """
+    return _start_outputs(events, incomplete_events(events) if rejects else None, similarity, rated, path, rejects, checkpoint, keep, trigger)
+
+
+def start_chain(lines, similarity, rated, path, rejects, checkpoint, keep=RECENT_RATINGS, **trigger):
+    """From log lines (event_id, value) to recommendations in one query.
+
+    Two logs are written in each micro-batch: ``path`` gets a row per user with a new rating, ``rejects`` the lines that
+    the filter and the parser turn away.  A batch that is repeated after a failure, between the two or after both, takes the
+    place of its first run in each.
     """
+    events, turned_away = rating_chain(lines)
+    return _start_outputs(events, turned_away, similarity, rated, path, rejects, checkpoint, keep, trigger)
 
-    def score(rows, batch_id):
+
+def _start_outputs(events, turned_away, similarity, rated, path, rejects, checkpoint, keep, trigger):
+    recents = recent_by_user(events, keep)
+    both = recents
+    if turned_away is not None:
+        # One query with one checkpoint: both kinds of rows travel through it side by side.
+        both = recents.withColumn("stage", F.lit(None).cast("string")).unionByName(turned_away, allowMissingColumns=True)
+
+    def handle(rows, batch_id):
         rows.persist()
         try:
-            triggers = rows.select("uid", "mid")
-            recs = recommendations(triggers, unpack_recents(rows), similarity(), _of_users(rated(), triggers))
-            _write_batch(recs, path, batch_id)
+            fresh = rows
+            if turned_away is not None:
+                gone = rows.where("stage is not null").select("event_id", "stage", "value")
+                versions.append(gone, rejects, batch_id)
+                fresh = rows.where("stage is null").select(*recents.columns)
+            triggers = fresh.select("uid", "mid")
+            recs = recommendations(triggers, unpack_recents(fresh), similarity(), _of_users(rated(), triggers))
+            versions.append(recs, path, batch_id)
         finally:
             rows.unpersist()
 
-    return _start(recent_by_user(events, keep), score, checkpoint, trigger)
+    return _start(both, handle, checkpoint, trigger)
 
 
 def _of_users(rated, triggers):
@@ -74,52 +109,11 @@ def _start(rows, handle, checkpoint, trigger):
     )
 
 
-def _files(spark, path):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def batches(spark, path):
-    """Numbers of the micro-batches in an append log; none before the first one is written."""
-    files, where = _files(spark, path)
-    if not files.exists(where):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(where)]
-    return sorted(int(name.removeprefix("batch_id=")) for name in names if name.startswith("batch_id="))
-
-
 def current(spark, path, schema=None):
-    """Newest row per user of an append log.
-
-    ``schema`` (columns of a row, without batch_id) makes a log without batches an empty table.
-    """
-    if schema is not None and not batches(spark, path):
-        return spark.createDataFrame([], schema)
-    log = spark.read.parquet(path)
-    value = F.struct(*[c for c in log.columns if c not in ("uid", "batch_id")])
-    newest = log.groupBy("uid").agg(F.max_by(value, "batch_id").alias("value"))
-    return newest.select("uid", "value.*")
+    """Newest row per user; ``schema`` (columns of a row) makes a log that isn't there an empty table."""
+    return versions.newest(spark, path, "uid", schema)
 
 
-def compact_in_place(spark, path):
-    """Fold all batches but the newest into one, under the path that readers use.
-
-    The newest batch is left alone: its micro-batch may be repeated.  The folded rows are written in place of the newest
-    of the folded batches before the older ones go, so a reader sees the same newest rows at any time.
-    """
-    folded = batches(spark, path)[:-1]
-    if len(folded) < 2:
-        return
-    *older, last = folded
-    log = spark.read.parquet(path).where(F.col("batch_id") <= last)
-    value = F.struct(*[c for c in log.columns if c not in ("uid", "batch_id")])
-    newest = log.groupBy("uid").agg(F.max_by(value, "batch_id").alias("value")).select("uid", "value.*")
-    _write_batch(stored(spark, newest, "folded"), path, last)
-    for batch in older:
-        files, where = _files(spark, f"{path}/batch_id={batch}")
-        files.delete(where, True)
-
-
-def compact(spark, path, target):
-    """Write the current view of an append log as a log of one batch under a new path."""
-    _write_batch(current(spark, path), target, 0)
+def compact(spark, path):
+    """Fold the micro-batches of a log; its readers see the same newest row per user at any moment."""
+    versions.compact(spark, path, "uid")

@@ -76,16 +76,3 @@ def test_rejects_of_both_steps(spark):
     ratings, rejects = rating_chain(spark.createDataFrame(lines, "event_id long, value string"))
     assert [r["event_id"] for r in ratings.collect()] == [1]
     assert sorted((r["event_id"], r["stage"]) for r in rejects.collect()) == [(2, "filter"), (3, "parse")]
-
-
-def test_compaction_under_readers(spark):
-    from kinora.streaming.recommender import batches, compact_in_place, current
-
-    path, schema = scratch_path(spark, "log"), "uid int, mid int"
-    assert current(spark, path, schema).collect() == []
-    for batch, rows in enumerate([[(1, 1), (2, 1)], [(1, 2)], [(3, 3)], [(2, 4)]]):
-        spark.createDataFrame(rows, schema).write.parquet(f"{path}/batch_id={batch}")
-    before = {tuple(r) for r in current(spark, path, schema).collect()}
-    compact_in_place(spark, path)
-    assert batches(spark, path) == [2, 3]
-    assert {tuple(r) for r in current(spark, path, schema).collect()} == before == {(1, 2), (2, 4), (3, 3)}
