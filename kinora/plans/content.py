@@ -5,8 +5,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from kinora.functions.vectors import l2_norm
-from kinora.operators.pairs import pair_products
 from kinora.operators.similar import ItemSimilarity
+from kinora.operators.threshold import sparse_threshold
 from kinora.session import stored
 
 BUCKETS = 50
@@ -67,8 +67,7 @@ def similarity(movies, min_score=MIN_SIMILARITY, buckets=BUCKETS, **tuning):
 
     rows = groups.select("source", F.posexplode("weights").alias("bucket", "w")).where("w != 0")
     rows = rows.select(F.col("bucket").alias("g"), F.col("source").alias("e"), "w")
-    scales = groups.select(F.col("source").alias("e"), (F.col("norm") * F.col("norm")).alias("scale"))
-    pairs = pair_products(rows, scales, min_score=min_score, **tuning).select(
+    pairs = sparse_threshold(rows, min_score, **tuning).select(
         F.col("e").cast("int").alias("source"), F.col("f").cast("int").alias("target"), "score"
     )
     copies = groups.where(F.col("n_members") > 1).select(

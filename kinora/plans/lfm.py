@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from kinora.functions.vectors import centre
 from kinora.operators.pairs import dense_pairs
-from kinora.operators.topk import top_unseen
+from kinora.operators.products import ranked, top_products
+from kinora.operators.threshold import dense_threshold
+from kinora.operators.topk import to_nested
 from kinora.session import shared_dir
 
 RANK, ITERATIONS, REGULARISATION = 200, 5, 0.1
@@ -38,36 +40,25 @@ def fit_als(ratings, rank=RANK, iterations=ITERATIONS, reg=REGULARISATION, seed=
     return als.fit(ratings.select("uid", "mid", "score"))
 
 
-def _flat(recommended):
-    return recommended.select("uid", F.posexplode("recommendations").alias("pos", "x")).select(
-        "uid",
-        (F.col("pos") + 1).alias("rank"),
-        F.col("x.mid").alias("mid"),
-        F.col("x.rating").cast("double").alias("score"),
-    )
+def _vectors(factors, key):
+    return factors.select(F.col("id").alias(key), F.col("features").cast("array<double>").alias("vec"))
 
 
 def user_recs(model, k=TOP_PER_USER):
-    """Best k items per user with a positive prediction: (uid, rank, mid, score).
-
-    The list is cut first and filtered then; both follow the same order, so the result is the same.
-    """
-    return _flat(model.recommendForAllUsers(k)).where(F.col("score") > 0)
+    """Best k items per user with a positive prediction: (uid, rank, mid, score)."""
+    lists = top_products(_vectors(model.userFactors, "uid"), _vectors(model.itemFactors, "mid"), k, floor=0.0)
+    return ranked(lists)
 
 
 def unseen_user_recs(model, ratings, k=TOP_PER_USER):
     """As :func:`user_recs`, leaving out what the user has rated already."""
-    users = model.userFactors.select(F.col("id").alias("uid"), F.col("id").alias("list_key"))
+    users, items = _vectors(model.userFactors, "uid"), _vectors(model.itemFactors, "mid")
+    return ranked(top_products(users, items, k, seen=ratings.select("uid", "mid"), floor=0.0))
 
-    def prefix(n, keys):
-        asked = keys.withColumnRenamed("list_key", "uid")
-        flat = _flat(model.recommendForUserSubset(asked, n)).where(F.col("score") > 0)
-        return flat.select(F.col("uid").alias("list_key"), F.col("mid").alias("item"), "score")
 
-    seen = ratings.select("uid", F.col("mid").alias("item"))
-    order = [F.col("score").desc(), F.col("item").asc()]
-    found = top_unseen(users, prefix, seen, order, k)
-    return found.select("uid", "rank", F.col("item").alias("mid"), "score")
+def nested_user_recs(recs):
+    """Ranked lists as one row per user: uid, recs (array of mid, score), best first."""
+    return to_nested(recs, "uid")
 
 
 def candidate_space(ratings):
@@ -88,7 +79,8 @@ def factor_similarity(factors, min_score=MIN_SIMILARITY, top_k=None, centred=Fal
     """
     features = F.col("features").cast("array<double>")
     vectors = factors.select(F.col("mid").alias("e"), (centre(features) if centred else features).alias("vec"))
-    pairs = dense_pairs(vectors, top_k=top_k, min_score=min_score, **tuning)
+    # With a threshold alone, vectors that cannot reach each other never meet; best lists need every block.
+    pairs = dense_threshold(vectors, min_score, **tuning) if top_k is None else dense_pairs(vectors, top_k=top_k, min_score=min_score, **tuning)
     return pairs.select(
         F.col("e").cast("int").alias("mid"), F.col("f").cast("int").alias("other_mid"), "score",
         *(["rank"] if top_k is not None else []),
@@ -158,11 +150,12 @@ def rmse(actual, predicted, multiplicity=False):
 
 
 def grid(
-    train, test, ranks=GRID_RANKS, regs=GRID_REGULARISATION, iterations=ITERATIONS, seed=SEED, parallel=4
+    train, test, ranks=GRID_RANKS, regs=GRID_REGULARISATION, iterations=ITERATIONS, seed=SEED, parallel=4, keep=None
 ):
     """RMSE on ``test`` for every setting: (rank, lambda, rmse), one row per setting.
 
-    ``parallel`` settings are fitted at a time, so their small stages fill the cluster together.
+    ``parallel`` settings are fitted at a time, so their small stages fill the cluster together.  ``keep``, if given, gets
+    (rank, lambda, predictions) of each setting and returns the predictions to go on with (a stored copy).
     """
     spark = train.sparkSession
     train = train.select("uid", "mid", "score").persist(StorageLevel.MEMORY_AND_DISK)
@@ -172,6 +165,8 @@ def grid(
         rank, reg = setting
         model = fit_als(train, rank, iterations, reg, seed)
         predicted = predict_pairs(model, test.select("uid", "mid").distinct())
+        if keep:
+            predicted = keep(rank, float(reg), predicted)
         return rank, float(reg), rmse(test, predicted).first()["rmse"]
 
     try:
