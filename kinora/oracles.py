@@ -289,6 +289,7 @@ ORACLES.update(
     als_normal_equations=f"WITH {RATINGS} SELECT uid, count(*) AS n_ratings, true AS ok FROM ratings GROUP BY uid",
     als_user_recs_hold=_USERS_HOLD,
     als_unseen_recs_hold=_USERS_HOLD,
+    als_nested_recs_hold=_USERS_HOLD,
     als_item_similarity_hold=f"WITH {RATINGS} SELECT DISTINCT mid, true AS ok FROM ratings",
     als_predicted_pairs=f"""WITH {RATINGS},
 split AS (SELECT uid, mid, substr(md5(concat_ws('|', uid, mid)), 1, 2) < 'cd' AS is_train FROM ratings)
@@ -305,3 +306,16 @@ SELECT event_id, uid, mid, score, "timestamp" FROM rating_events JOIN lines USIN
     rating_rejects="""
 SELECT event_id, 'INFO app - ' || event_type AS value FROM events WHERE event_type IN ('error', 'signup')""",
 )
+
+_RATED = EVENTS.replace("FROM events)", "FROM events WHERE event_type IN ('view', 'purchase', 'click'))")
+ORACLES.update(
+    chain_recs_current=ORACLES["stream_recs_current"].replace(EVENTS, _RATED),
+    chain_rejects="""
+SELECT event_id, CASE event_type WHEN 'error' THEN 'filter' ELSE 'parse' END AS stage,
+       CASE event_type WHEN 'error' THEN 'INFO app - MOVIE_RATING_PREFIX:' ELSE user_id || '|signup' END AS value
+FROM events WHERE event_type IN ('error', 'signup')""",
+)
+
+ORACLES["keyword_search_index"] = ORACLES["keyword_search"].replace("<= 1", "<= 2")
+
+ORACLES["item_cooccurrence_incremental"] = ORACLES["item_cooccurrence"]

@@ -1,16 +1,20 @@
 """Registered queries: each reads whole tables of ``sf_dir`` and returns one DataFrame."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinora.functions import vectors
 from kinora.functions.text import after_marker, rating_fields, recent_fields
+from kinora.operators import products
 from kinora.operators.similar import ItemSimilarity
 from kinora.operators.topk import to_nested
 from kinora.plans import content, demographic, itemcf, lfm, realtime, search, statistics, usercf
 from kinora.session import scratch_path, stored
 from kinora.sources import fixtures as fx
 from kinora.sources import streams, tables
-from kinora.streaming import recommender
+from kinora.streaming import cocounts, recommender, versions
 
 QUERIES = {}
 
@@ -124,6 +128,18 @@ def item_cooccurrence(spark, sf):
     return itemcf.cooccurrence(_ratings(spark, sf)).drop("score")
 
 
+@query
+def item_cooccurrence_incremental(spark, sf):
+    """The same counts, kept up to date by four micro-batches of the ratings."""
+    ratings = stored(spark, _ratings(spark, sf), "ratings")
+    path = scratch_path(spark, "cocounts")
+    for i in range(4):
+        cocounts.add(ratings.where(F.pmod(F.xxhash64("uid", "mid", "timestamp"), F.lit(4)) == i), path, i)
+        if i == 2:
+            cocounts.compact(spark, path)
+    return cocounts.similarity(spark, path).select("mid1", "mid2", "cocount", "count1", "count2")
+
+
 @query
 def item_cf_similarity(spark, sf):
     return itemcf.cooccurrence(_ratings(spark, sf)).select("mid1", "mid2", _r6("score"))
@@ -279,9 +295,9 @@ def als_predict_pairs(spark, sf):
     return lfm.predict_pairs(model, split.where("not is_train").select("uid", "mid", "score"))
 
 
-def _grid(spark, sf):
+def _grid(spark, sf, keep=None):
     split = lfm.hash_split(_ratings(spark, sf))
-    return lfm.grid(split.where("is_train"), split.where("not is_train"), ranks=GRID_RANKS)
+    return lfm.grid(split.where("is_train"), split.where("not is_train"), ranks=GRID_RANKS, keep=keep)
 
 
 @query
@@ -306,50 +322,105 @@ def als_normal_equations(spark, sf):
     )
 
 
-@query
-def als_user_recs_hold(spark, sf):
-    """Lists are ranked without gaps by the factor product, and no rated movie above the last entry is missing."""
-    ratings = _ratings(spark, sf)
-    model = lfm.fit_als(ratings, rank=ALS_RANK)
-    listed = stored(spark, lfm.user_recs(model), "als-recs")
+def _lists_hold(spark, model, listed, seen=None):
+    """Whether each user's list is the whole best: as many entries as there are positive products, k at most, with the right
+    scores and ranks, and no product left out that is above the last entry.  Counted from the whole users x items product.
+    """
+    near = 1e-6
     fit = lfm.with_products(model, listed)
     lists = fit.groupBy("uid").agg(
         F.count(F.lit(1)).alias("n"),
+        F.count_distinct("rank").alias("ranks"),
         F.max("rank").alias("last"),
         F.min("score").alias("least"),
         F.max(F.abs(F.col("product") - F.col("score"))).alias("off"),
-        F.sum((F.col("score") <= 0).cast("int")).alias("negative"),
     )
-    rated = lfm.with_products(model, ratings.select("uid", "mid").distinct()).join(listed, ["uid", "mid"], "left_anti")
-    missed = rated.groupBy("uid").agg(F.max("product").alias("missed"))
-    full = (F.col("n") == F.col("last")) & (F.col("off") < 1e-4) & (F.col("negative") == 0)
-    none_better = F.coalesce(F.col("missed") <= F.col("least") + 1e-4, F.lit(True))
-    return lists.join(missed, "uid", "left").select("uid", (full & none_better).alias("ok"))
+    users = model.userFactors.select(F.col("id").cast("long").alias("uid"), F.col("features").cast("array<double>").alias("vec"))
+    items = model.itemFactors.select(F.col("id").cast("long").alias("mid"), F.col("features").cast("array<double>").alias("vec"))
+    lists = stored(spark, lists.select(F.col("uid").cast("long").alias("uid"), "n", "ranks", "last", "least", "off"), "lists")
+    limits = users.join(lists, "uid", "left").select(
+        "uid", "vec", F.explode(F.array(F.lit(0.0), F.coalesce(F.col("least"), F.lit(0.0)) + near)).alias("limit")
+    )
+    counted = products.counts_above(limits, items)
+    wide = counted.groupBy("uid").agg(F.min_by("above", "limit").alias("positive"), F.max_by("above", "limit").alias("above"))
+    own = fit.join(lists.select(F.col("uid").cast("int").alias("uid"), "least"), "uid").groupBy("uid").agg(
+        F.count_if(F.col("product") > F.col("least") + near).alias("own_above")
+    )
+    wide = wide.join(lists, "uid", "left").join(own, "uid", "left")
+    if seen is not None:
+        rated = lfm.with_products(model, seen.distinct()).join(lists.select("uid", "least"), "uid", "left")
+        gone = rated.groupBy("uid").agg(
+            F.count_if(F.col("product") > 0).alias("seen_positive"),
+            F.count_if(F.col("product") > F.coalesce(F.col("least"), F.lit(0.0)) + near).alias("seen_above"),
+        )
+        zero = F.lit(0)
+        wide = wide.join(gone, "uid", "left").withColumn("positive", F.col("positive") - F.coalesce("seen_positive", zero))
+        wide = wide.withColumn("above", F.col("above") - F.coalesce("seen_above", zero))
+    n = F.coalesce("n", F.lit(0))
+    whole = n == F.least(F.col("positive"), F.lit(lfm.TOP_PER_USER))
+    right = (F.col("ranks") == n) & (F.col("last") == n) & (F.col("off") < near) & (F.col("own_above") == F.col("above"))
+    return wide.select(F.col("uid").cast("int").alias("uid"), (whole & F.when(n > 0, right).otherwise(True)).alias("ok"))
+
+
+@query
+def als_user_recs_hold(spark, sf):
+    """Lists are the best k positive products of all movies."""
+    model = lfm.fit_als(_ratings(spark, sf), rank=ALS_RANK)
+    return _lists_hold(spark, model, stored(spark, lfm.user_recs(model), "als-recs"))
 
 
 @query
 def als_unseen_recs_hold(spark, sf):
-    """Users whose unseen lists have no gap and hold nothing that the user has rated."""
+    """Lists are the best k positive products of the movies that the user has not rated."""
     ratings = _ratings(spark, sf)
-    listed = lfm.unseen_user_recs(lfm.fit_als(ratings, rank=ALS_RANK), ratings)
-    marked = listed.join(ratings.select("uid", "mid", F.lit(1).alias("seen")).distinct(), ["uid", "mid"], "left")
-    return marked.groupBy("uid").agg(
-        ((F.count(F.lit(1)) == F.max("rank")) & (F.count("seen") == 0)).alias("ok")
+    model = lfm.fit_als(ratings, rank=ALS_RANK)
+    listed = stored(spark, lfm.unseen_user_recs(model, ratings), "als-unseen")
+    seen = ratings.select("uid", "mid")
+    repeated = listed.join(seen.distinct(), ["uid", "mid"], "left_semi").groupBy("uid").agg(F.count(F.lit(1)).alias("repeated"))
+    held = _lists_hold(spark, model, listed, seen).join(repeated, "uid", "left")
+    return held.select("uid", (F.col("ok") & F.col("repeated").isNull()).alias("ok"))
+
+
+@query
+def als_nested_recs_hold(spark, sf):
+    """One row per user, with the entries of the flat lists in their order."""
+    model = lfm.fit_als(_ratings(spark, sf), rank=ALS_RANK)
+    flat = stored(spark, lfm.user_recs(model), "als-recs")
+    nested = lfm.nested_user_recs(flat)
+    again = nested.select("uid", F.posexplode("recs").alias("pos", "x")).select(
+        "uid", (F.col("pos") + 1).alias("rank"), F.col("x.mid").alias("mid"), F.col("x.score").alias("score")
     )
+    both = flat.join(again.withColumn("there", F.lit(1)), ["uid", "rank", "mid", "score"], "full")
+    sizes = both.groupBy("uid").agg((F.count("there") == F.count(F.lit(1))).alias("ok"))
+    return sizes.select("uid", "ok")
 
 
 @query
 def als_item_similarity_hold(spark, sf):
-    """Movie lists hold the cosines of the factors, ranked without gaps."""
+    """Movie lists are the best 20 cosines of all other movies' factors."""
+    near = 1e-6
     model = lfm.fit_als(_ratings(spark, sf), rank=ALS_RANK)
     factors = stored(spark, lfm.item_factors(model).select("mid", F.col("features").cast("array<double>").alias("v")), "factors")
     unit = factors.withColumn("v", vectors.scale(F.col("v"), 1 / vectors.l2_norm(F.col("v"))))
-    listed = lfm.factor_similarity(lfm.item_factors(model), min_score=-2.0, top_k=20)
+    listed = stored(spark, lfm.factor_similarity(lfm.item_factors(model), min_score=-2.0, top_k=20), "item-lists")
     both = listed.join(unit, "mid").join(unit.toDF("other_mid", "w"), "other_mid")
     cosine = F.aggregate(F.zip_with("v", "w", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    return both.groupBy("mid").agg(
-        ((F.count(F.lit(1)) == F.max("rank")) & (F.max(F.abs(cosine - F.col("score"))) < 1e-6)).alias("ok")
+    least = F.min("score").over(Window.partitionBy("mid"))
+    lists = both.withColumn("cosine", cosine).withColumn("least", least).groupBy("mid").agg(
+        F.count_distinct("rank").alias("n"),
+        F.max("rank").alias("last"),
+        F.max(F.abs(F.col("cosine") - F.col("score"))).alias("off"),
+        F.min("least").alias("least"),
+        F.count_if(F.col("cosine") > F.col("least") + near).alias("own_above"),
     )
+    lists = stored(spark, lists, "lists")
+    asked = unit.join(lists, "mid").select(F.col("mid").cast("long").alias("uid"), F.col("v").alias("vec"), (F.col("least") + near).alias("limit"))
+    counted = products.counts_above(asked, unit.select("mid", F.col("v").alias("vec"))).select(F.col("uid").alias("mid"), "above")
+    others = factors.count() - 1
+    own = F.when(F.col("least") + near < 1, 1).otherwise(0)  # a movie's cosine with itself
+    whole = (F.col("n") == F.least(F.lit(others), F.lit(20))) & (F.col("last") == F.col("n"))
+    right = (F.col("off") < near) & (F.col("above") - own == F.col("own_above"))
+    return lists.join(counted, "mid").select(F.col("mid").cast("int").alias("mid"), (whole & right).alias("ok"))
 
 
 @query
@@ -365,11 +436,25 @@ def als_predicted_pairs(spark, sf):
 
 @query
 def als_grid_holds(spark, sf):
-    """Every setting once with a finite error, the best one no worse than any."""
-    measured = stored(spark, _grid(spark, sf), "grid")
+    """Every setting's error is that of its own predictions, summed rating by rating; the best one has the least."""
+    kept = {}
+
+    def keep(rank, reg, predicted):
+        kept[rank, reg] = stored(spark, predicted, "grid-predictions")
+        return kept[rank, reg]
+
+    measured = stored(spark, _grid(spark, sf, keep), "grid")
+    test = lfm.hash_split(_ratings(spark, sf)).where("not is_train")
+    errors = [
+        test.join(predicted, ["uid", "mid"]).select(
+            F.lit(rank).alias("rank"), F.lit(reg).alias("lambda"), F.pow(F.col("score") - F.col("prediction"), 2).alias("error")
+        )
+        for (rank, reg), predicted in kept.items()
+    ]
+    again = reduce(DataFrame.unionByName, errors).groupBy("rank", "lambda").agg(F.sqrt(F.avg("error")).alias("again"))
     best = lfm.best_setting(measured).select(F.col("rmse").alias("least"))
-    sound = (F.col("rmse") > 0) & (F.col("rmse") < 5) & (F.col("rmse") >= F.col("least"))
-    return measured.join(F.broadcast(best)).select("rank", F.col("lambda"), sound.alias("ok"))
+    sound = (F.abs(F.col("rmse") - F.col("again")) < 1e-9) & (F.col("rmse") > 0) & (F.col("again") >= F.col("least") - 1e-9)
+    return measured.join(again, ["rank", "lambda"]).join(F.broadcast(best)).select("rank", F.col("lambda"), sound.alias("ok"))
 
 
 def _predicted(ratings):
@@ -544,6 +629,32 @@ def stream_recs_current(spark, sf):
     return _unnested(recommender.current(spark, out), "uid")
 
 
+def _chain(spark, sf):
+    """The whole chain over the event log: (recommendations, rejects), each a log of micro-batches."""
+    events = fx.table(spark, sf, "events")
+    lines = fx.events_as_broken_log_lines(streams.file_source(spark, f"{sf}/events*.parquet", events.schema))
+    similarity = content.similarity(_movies(spark, sf)).store()
+    out, rejects = scratch_path(spark, "chain-recs"), scratch_path(spark, "chain-rejects")
+    recommender.start_chain(
+        lines, lambda: similarity, lambda: _seen(spark, sf), out, rejects, scratch_path(spark, "chain-state"), availableNow=True
+    ).awaitTermination()
+    return out, rejects
+
+
+@query
+def chain_recs_current(spark, sf):
+    """From log lines to the newest list per user, in one running query."""
+    out, _ = _chain(spark, sf)
+    return _unnested(recommender.current(spark, out), "uid")
+
+
+@query
+def chain_rejects(spark, sf):
+    """What the same query turns away, by step."""
+    _, rejects = _chain(spark, sf)
+    return versions.rows(spark, rejects).select("event_id", "stage", "value")
+
+
 # -- products known from documentation -----------------------------------------------------------
 
 
@@ -573,6 +684,13 @@ def keyword_search(spark, sf):
     return found.select("doc_id", _r6("score"))
 
 
+@query
+def keyword_search_index(spark, sf):
+    """Two edits, from a stored index."""
+    index = search.build_index(fx.table(spark, sf, "documents"), max_edits=2)
+    return index.search(SEARCH_TERMS).select("doc_id", _r6("score"))
+
+
 @query
 def more_like_this(spark, sf):
     seeds = fx.table(spark, sf, "benchmark").select(F.col("item_id").alias("seed_id"), "text")
