@@ -24,14 +24,16 @@ import tiktoken
 import zstandard
 from pyspark.sql import functions as F
 
-from kinora.llm.common import keyed_text, once_per_worker, partitions, stored
+from kinora.llm.common import keyed_text, partitions, stored
 from kinora.llm.packing import _runs
 
-BLOCK_CHARS = 8_000_000
-#: Pieces of text that a worker remembers from block to block.
-MAX_PIECES = 500_000
-#: A space that belongs to a run of white space: such texts are split as a whole.
-SPACE_RUN = regex.compile(r" \s")
+BLOCK_CHARS = 4_000_000
+#: Pre-tokens of the documents that are put together at once.
+DOCUMENT_IDS = 1_000_000
+#: Words that one call of the merges gets.
+CHUNK = 2_000
+#: A space that a run of white space may take in: such texts are split as a whole.
+SPACE_RUN = regex.compile(r" \s|\s \Z")
 
 POSITIONS = "block string, doc_ids array<long>, counts array<long>, at binary"
 WORDS = "block string, bucket int, words binary, lengths binary, at binary"
@@ -45,74 +47,107 @@ def read_ranks(text):
 
 
 class _Numbers(dict):
-    """Word -> its number in order of appearance, as 4 bytes."""
+    """Thing -> its number in order of appearance."""
 
-    def __missing__(self, word):
-        number = self[word] = len(self).to_bytes(4, "little")
+    def __missing__(self, thing):
+        number = self[thing] = len(self)
         return number
 
 
-class Splitter:
-    """Pre-tokens of texts as numbers in a growing list of distinct words.
+def _expanded(starts, lengths, chosen):
+    """Places of the entries of the ``chosen`` lists, one list after the other."""
+    sizes = lengths[chosen]
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes - starts[chosen], sizes)
 
-    A space before a non-space always starts a pre-token, so texts are cut there and each distinct piece is matched
-    once.
-    """
 
-    def __init__(self, pattern):
-        self.pattern = regex.compile(pattern)
-        self.words, self.inner, self.first = _Numbers(), {}, {}
+class Block:
+    """Documents of a block: texts in, distinct words and their positions out.
 
-    def positions(self, text):
-        if SPACE_RUN.search(text):
-            return self._match(text)
-        head, *rest = text.split(" ")
-        if head not in self.first:
-            self.first[head] = self._match(head)
-        for piece in [p for p in set(rest) if p not in self.inner]:
-            self.inner[piece] = self._match(" " + piece)
-        return self.first[head] + b"".join(map(self.inner.__getitem__, rest))
+    A space before a non-space always starts a pre-token, so texts are cut there, and all distinct pieces of the block are
+    matched in one go: a match that starts with a space starts a piece.
+    """
 
-    def _match(self, text):
-        return b"".join(map(self.words.__getitem__, self.pattern.findall(text)))
+    def __init__(self, pattern):
+        self.pattern = pattern
+        self.keys, self.chars = [], 0
+        self.pieces, self.others, self.texts = _Numbers(), _Numbers(), []  # others: beginnings and whole texts
+
+    def add(self, key, text):
+        whole = SPACE_RUN.search(text)
+        head, *rest = [text] if whole else text.split(" ")
+        self.keys.append(key)
+        self.texts.append((self.others[head], np.fromiter(map(self.pieces.__getitem__, rest), np.int32, len(rest))))
+        self.chars += len(text)
+
+    def close(self):
+        """(name, keys, pre-tokens per document, positions, words by falling frequency)."""
+        found = self.pattern.findall("".join([" " + piece for piece in self.pieces]))
+        firsts = [i for i, match in enumerate(found) if match[0] == " "]
+        lengths = np.diff(np.array([*firsts, len(found)], np.int64))
+        other = [self.pattern.findall(text) for text in self.others]
+        shift = len(lengths)
+        lengths = np.concatenate([lengths, np.array([len(o) for o in other], np.int64)])
+        numbers = _Numbers()
+        for o in other:
+            found += o
+        flat = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
+        starts = np.cumsum(lengths) - lengths
+        pieces = [np.append(shift + head, rest) for head, rest in self.texts]
+        counts = [int(lengths[p].sum()) for p in pieces]
+        at = flat[_expanded(starts, lengths, np.concatenate(pieces))]
+        times = np.bincount(at, minlength=len(numbers))
+        order = np.argsort(-times, kind="stable")
+        place = np.empty(len(order), "<u4")
+        place[order] = np.arange(len(order), dtype="<u4")
+        listed = list(numbers)
+        words = [listed[i].encode("utf-8", "surrogatepass") for i in order]
+        name = hashlib.blake2b(repr((self.keys, counts)).encode(), digest_size=16)
+        name.update(b"\0".join(words))
+        return name.hexdigest(), self.keys, counts, place[at], words
 
 
 def _blocks(arrow, pattern, block_chars):
-    """(name, doc ids, pre-tokens per document, positions, words by falling frequency)."""
-
-    def close():
-        flat = np.frombuffer(b"".join(parts), "<u4")
-        times = np.bincount(flat, minlength=len(splitter.words))
-        first = np.zeros(len(times), np.int64)
-        first[flat[::-1]] = np.arange(len(flat))[::-1]  # of equal numbers the last, that is the first place, stays
-        own = np.flatnonzero(times)
-        order = own[np.lexsort((first[own], -times[own]))]  # the same for the same texts, whatever came before
-        place = np.zeros(len(times), "<u4")
-        place[order] = np.arange(len(order), dtype="<u4")
-        listed = list(splitter.words)
-        words = [listed[i] for i in order]
-        counts = [len(p) // 4 for p in parts]
-        name = hashlib.blake2b(repr((keys, counts)).encode(), digest_size=16)
-        name.update("\0".join(words).encode())
-        return name.hexdigest(), keys, counts, place[flat], words
-
-    def fresh():
-        kept = once_per_worker("splitter", lambda: [Splitter(pattern)], pattern)
-        if len(kept[0].inner) + len(kept[0].first) > MAX_PIECES:
-            kept[0] = Splitter(pattern)
-        return kept[0]
-
-    splitter, keys, parts, chars = fresh(), [], [], 0
+    """Blocks of documents; the same for the same texts."""
+    compiled = regex.compile(pattern)
+    block = Block(compiled)
     for batch in arrow:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            keys.append(key)
-            parts.append(splitter.positions(text))
-            chars += len(text)
-            if chars >= block_chars:
-                yield close()
-                splitter, keys, parts, chars = fresh(), [], [], 0
-    if keys:
-        yield close()
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            block.add(key, text.as_py())
+            if block.chars >= block_chars:
+                yield block.close()
+                block = Block(compiled)
+    if block.keys:
+        yield block.close()
+
+
+class Merger:
+    """Ids of distinct words."""
+
+    def __init__(self, ranks, pattern):
+        self.merge = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        (self.feed,) = self.merge.encode_ordinary("\n")
+
+    def ids(self, words):
+        """{word: ids as bytes}.  Words without white space but a leading blank are merged many at a time, line by line."""
+        plain, out = [], {}
+        for word in words:
+            if word[1:].isalnum() and word[:1] in _PLAIN:
+                plain.append(word)
+            else:
+                out[word] = np.array(self.merge.encode_ordinary(word.decode("utf-8", "surrogatepass")), "<u4").tobytes()
+        for i in range(0, len(plain), CHUNK):
+            some = plain[i : i + CHUNK]
+            ids = np.array(self.merge.encode_ordinary("\n".join([w.decode() for w in some])), "<u4")
+            ends = np.append(np.flatnonzero(ids == self.feed), len(ids))
+            starts = np.append(0, ends[:-1] + 1)
+            raw = ids.tobytes()
+            out.update(zip(some, [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]))
+        return out
+
+
+#: First bytes of words that :class:`Merger` puts on lines: a blank or an ASCII letter.
+_PLAIN = frozenset(bytes([b]) for b in b" abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
 def encode(docs, ranks_text, pattern, key="doc_id", text="text", block_chars=BLOCK_CHARS, stable=True):
@@ -141,14 +176,13 @@ def encode(docs, ranks_text, pattern, key="doc_id", text="text", block_chars=BLO
 
     def words(arrow):
         for name, _, _, _, listed in _blocks(arrow, pattern, block_chars):
-            encoded = [w.encode() for w in listed]
-            bucket = np.array([zlib.crc32(w) % buckets for w in encoded], np.int64)
+            bucket = np.fromiter(map(zlib.crc32, listed), np.int64, len(listed)) % buckets
             order = np.argsort(bucket, kind="stable")
             stops = np.cumsum(np.bincount(bucket, minlength=buckets))
             for b, (start, stop) in enumerate(zip([0, *stops[:-1]], stops)):
                 if start < stop:
                     own = order[start:stop]
-                    part = [encoded[i] for i in own]
+                    part = [listed[i] for i in own]
                     packed = (zstandard.compress(b"".join(part)), _packed(map(len, part)), _packed(np.diff(own, prepend=0)))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name]), pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)],
@@ -156,7 +190,7 @@ def encode(docs, ranks_text, pattern, key="doc_id", text="text", block_chars=BLO
                     )
 
     def code(arrow):
-        merge = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(ranks.value), special_tokens={})
+        merger = Merger(read_ranks(ranks.value), pattern)
         bucket, known = None, {}
         for batch in arrow:
             for own in _runs(batch):
@@ -166,9 +200,7 @@ def encode(docs, ranks_text, pattern, key="doc_id", text="text", block_chars=BLO
                     stops = np.cumsum(_unpacked(row["lengths"])).tolist()
                     joined = zstandard.decompress(row["words"])
                     listed = [joined[a:b] for a, b in zip([0, *stops], stops)]
-                    for word in listed:
-                        if word not in known:
-                            known[word] = np.array(merge.encode_ordinary(word.decode()), "<u4").tobytes()
+                    known.update(merger.ids([w for w in listed if w not in known]))
                     ids = [known[w] for w in listed]
                     packed = (row["at"], _packed(len(i) // 4 for i in ids), _packed(np.frombuffer(b"".join(ids), "<u4")))
                     yield pa.RecordBatch.from_arrays(
@@ -190,26 +222,25 @@ def encode(docs, ranks_text, pattern, key="doc_id", text="text", block_chars=BLO
 
 def _reassembled(arrow):
     """Documents of each block: the ids of its words, taken by position."""
+    none = np.zeros(0, np.int64)
     for batch in arrow:
-        for row in batch.to_pylist():
-            at = _unpacked(row["at"])
-            word = {}
-            for part in row["coded"] or []:
-                stops = (4 * np.cumsum(_unpacked(part["lengths"]))).tolist()
-                raw = _unpacked(part["ids"]).tobytes()
-                places = np.cumsum(_unpacked(part["at"])).tolist()
-                word.update(zip(places, [raw[a:b] for a, b in zip([0, *stops], stops)]))
-            if len(word) < (int(at.max()) + 1 if len(at) else 0):
+        for i in range(batch.num_rows):
+            row = {name: batch.column(name)[i].as_py() for name in ("doc_ids", "counts", "at", "coded")}
+            parts = [(np.cumsum(_unpacked(p["at"])), _unpacked(p["lengths"]), _unpacked(p["ids"])) for p in row["coded"] or []]
+            at = _unpacked(row["at"]).astype(np.int64)
+            place, lengths, ids = (np.concatenate(x).astype(np.int64) for x in zip(*parts)) if parts else (none, none, none)
+            if len(place) < (int(at.max()) + 1 if len(at) else 0):
                 raise RuntimeError("the input read back differently; encode it with stable=False")
-            done, size, keys, ids = 0, 0, row["doc_ids"], []
-            for count in row["counts"]:
-                ids.append(b"".join(map(word.__getitem__, at[done : done + count].tolist())))
-                done, size = done + count, size + len(ids[-1])
-                if size > 1 << 24:
-                    yield _documents(keys[: len(ids)], ids)
-                    size, keys, ids = 0, keys[len(ids) :], []
-            if ids:
-                yield _documents(keys, ids)
+            starts, sizes = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+            starts[place], sizes[place] = np.cumsum(lengths) - lengths, lengths
+            ids, keys, counts, done = ids.astype("<u4"), row["doc_ids"], row["counts"], 0
+            while keys:  # about DOCUMENT_IDS ids of whole documents at a time
+                some = max(1, int(np.searchsorted(np.cumsum(counts), DOCUMENT_IDS)))
+                own = at[done : done + sum(counts[:some])]
+                raw = ids[_expanded(starts, sizes, own)].tobytes()
+                ends = np.cumsum(np.concatenate([[0], sizes[own]]))[np.cumsum([0, *counts[:some]])] * 4
+                yield _documents(keys[:some], [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())])
+                keys, counts, done = keys[some:], counts[some:], done + len(own)
 
 
 def _packed(numbers):
@@ -223,27 +254,6 @@ def _unpacked(packed):
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def written(df, ids="ids"):
-    """``df`` with ``written``: its ids as decimal numbers joined by one space."""
-    schema = df.withColumn("written", F.lit("")).schema
-
-    def shown(arrow):
-        known = _Decimals().__getitem__
-        for batch in arrow:
-            texts = [" ".join(map(known, np.frombuffer(x or b"", "<u4").tolist())) for x in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "written"])
-
-    return df.mapInArrow(shown, schema)
-
-
-class _Decimals(dict):
-    """Id -> its decimal form; as many as the vocabulary has."""
-
-    def __missing__(self, number):
-        text = self[number] = str(number)
-        return text
-
-
 def _documents(keys, ids):
     counts = [len(i) // 4 for i in ids]
     return pa.RecordBatch.from_arrays(
@@ -251,20 +261,28 @@ def _documents(keys, ids):
     )
 
 
-def decode(df, ranks_text, ids="ids"):
+def decode(df, ranks_text, ids="ids", written=False):
     """``df`` with ``decoded``: the bytes of its ids, joined from the token-byte table.
 
     The table has one row per token of the vocabulary whatever the data, so it is a map-side join by token id.  Null
-    and empty lists decode to no bytes.
+    and empty lists decode to no bytes.  ``written`` adds the ids as decimal numbers joined by one space.
     """
     ranks = df.sparkSession.sparkContext.broadcast(ranks_text)
-    columns = [c for c in df.columns if c != "decoded"]
-    schema = df.select(*columns).withColumn("decoded", F.lit(b"")).schema
+    added = {"decoded": F.lit(b""), **({"written": F.lit("")} if written else {})}
+    columns = [c for c in df.columns if c not in added]
+    schema, names = df.select(*columns).withColumns(added).schema, list(added)
 
     def joined(arrow):
-        table = {i: token for token, i in read_ranks(ranks.value).items()}.__getitem__
+        table = {i: token for token, i in read_ranks(ranks.value).items()}
+        shown = {i: str(i) for i in table}
         for batch in arrow:
-            texts = [b"".join(map(table, np.frombuffer(x or b"", "<u4").tolist())) for x in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"])
+            texts, numbers = [], []
+            for i in range(batch.num_rows):
+                own = np.frombuffer(batch.column(ids)[i].as_py() or b"", "<u4").tolist()
+                texts.append(b"".join(map(table.__getitem__, own)))
+                if written:
+                    numbers.append(" ".join(map(shown.__getitem__, own)))
+            more = [pa.array(texts, pa.binary()), *([pa.array(numbers, pa.string())] if written else [])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *names])
 
     return df.select(*columns).mapInArrow(joined, schema)

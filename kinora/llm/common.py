@@ -57,9 +57,34 @@ def range_buckets(df, key, count):
 def once_per_worker(name, build, version=None):
     """What ``build`` returns, kept for the later tasks of a reused Python worker (models, caches of bounded size).
 
-    Only the newest version of each name stays.
+    A worker keeps one such thing: what an earlier stage left there goes.
     """
     kept = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__
-    if name not in kept or kept[name][0] != version:
-        kept[name] = (version, build())
-    return kept[name][1]
+    if kept.get("held", (None,))[0] != (name, version):
+        kept["held"] = (None, None)  # goes before its successor is built
+        kept["held"] = ((name, version), build())
+    return kept["held"][1]
+
+
+class Recent(dict):
+    """Cache of about the ``most`` newest entries: ``get_or_make`` of the keys in use keeps them, others go in time.
+
+    Entries live in two generations; the older one is dropped when the younger one is full.
+    """
+
+    def __init__(self, make, most):
+        super().__init__()
+        self.make, self.half, self.old = make, most // 2, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def trim(self):
+        """Call between batches: a batch's own entries are never dropped under it."""
+        if len(self) > self.half:
+            self.old = dict(self)
+            self.clear()

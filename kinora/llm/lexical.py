@@ -28,8 +28,9 @@ from kinora.llm.common import keyed_text, stored
 
 TOP = 20
 BLOCK = 1 << 18
-#: Numbers that a task holds at once while it scores.
-CELLS = 4_000_000
+#: Most (class, item) cells and most classes that a task scores at once.
+CELLS = 1_000_000
+CLASSES = 512
 
 BAGS = "doc_id long, n_terms long, bag binary"
 COUNTS = "term int, documents long"
@@ -103,7 +104,7 @@ def _scored(classes, sent, items, k):
         kept = None
         for batch in arrow:
             rows = batch.to_pydict()
-            step = max(1, CELLS // max(1, items))
+            step = max(1, min(CLASSES, CELLS // max(1, items)))
             for at in range(0, batch.num_rows, step):
                 bags = [_unpacked(b) for b in rows["bag"][at : at + step]]
                 own = np.repeat(np.arange(len(bags)), [b.shape[1] for b in bags])

@@ -45,10 +45,8 @@ def op8_token_id_store(spark, sf):
 def op6_byte_bpe(spark, sf):
     ranks = vocabulary("byte_bpe_50k.tiktoken")
     encoded = bytebpe.encode(read(spark, sf, "documents"), ranks, PATTERN)
-    decoded = bytebpe.decode(encoded, ranks).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
-    return bytebpe.written(decoded).select(
-        "doc_id", "n_tokens", F.sha2("written", 256).alias("ids_sha256"), "decoded_sha256"
-    )
+    both = bytebpe.decode(encoded, ranks, written=True)
+    return both.select("doc_id", "n_tokens", F.sha2("written", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query

@@ -29,7 +29,7 @@ import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
-from kinora.llm.common import keyed_text, once_per_worker, partitions, stored
+from kinora.llm.common import Recent, keyed_text, once_per_worker, partitions, stored
 from kinora.llm.components import components
 from kinora.llm.idstore import mix
 from kinora.llm.packing import _runs
@@ -42,30 +42,21 @@ MOST_LIGHT, MOST_SUBSETS = 24, 500
 LIST_COST = 4
 CLASS_GROWTH = 1.5
 FILTER_BITS = 1 << 24
-MAX_CACHED_WORDS = 500_000
+MAX_CACHED_WORDS = 200_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-class _Codes(dict):
-    """Word -> its hash, worked out once."""
-
-    def __missing__(self, word):
-        code = self[word] = xxhash.xxh64_intdigest(word)
-        return code
-
-
 class Sets:
     """Shingle sets of texts as sorted distinct 64-bit hashes."""
 
     def __init__(self, words):
-        self.size, self.known = words, _Codes()
+        self.size, self.known = words, Recent(xxhash.xxh64_intdigest, MAX_CACHED_WORDS)
 
     def __call__(self, text):
         words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
         if not words:
             return np.zeros(0, np.uint64)
-        if len(self.known) > MAX_CACHED_WORDS:
-            self.known = _Codes()
+        self.known.trim()
         codes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
         size = min(self.size, len(codes))
         hashes = np.full(len(codes) - size + 1, size, np.uint64)

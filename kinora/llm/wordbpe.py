@@ -13,7 +13,8 @@ from tokenizers import Tokenizer, pre_tokenizers
 ODD_SPACE = regex.compile("[\x1c-\x1f]")
 #: Words for which lower() and the split below equal the tokenizer's own (no combining marks, no special casing).
 PLAIN = regex.compile("[\x21-įı-ɏ]+")
-MAX_CACHED_WORDS = 1_000_000
+#: Words that an encoder keeps, twice at most: a younger generation, and the one before it, whose used words move on.
+MAX_CACHED_WORDS = 300_000
 #: Words that one call of the merge model gets.
 CHUNK = 2_000
 
@@ -37,15 +38,17 @@ class WordEncoder:
         self.is_end[[i for token, i in self.full.get_vocab(False).items() if token.endswith("</w>")]] = True
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.chars = byte_chars()
-        self.tokens = {}  # pre-token -> payload
-        self.words = {}  # white-space word -> payload
+        self.words, self.old = {}, {}  # white-space word -> payload
         self.cached = cached
 
     def payloads(self, texts):
         split = [None if ODD_SPACE.search(text) else text.split() for text in texts]
         if len(self.words) > self.cached:
-            self.words, self.tokens = {}, {}
-        self._learn([w for w in set().union(*filter(None, split)) if w not in self.words])
+            self.words, self.old = {}, self.words
+        unknown = set().union(*filter(None, split)).difference(self.words)
+        again = unknown.intersection(self.old)
+        self.words.update([(word, self.old[word]) for word in again])
+        self._learn(unknown - again)
         known = self.words.__getitem__
         return [
             self._whole(text) if words is None else b"".join(map(known, words)) for text, words in zip(texts, split)
@@ -55,7 +58,7 @@ class WordEncoder:
         return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words):
-        whole, pieces, tokens = [], [], set()
+        whole, pieces = [], []
         for word in words:
             if not word.isascii() and not PLAIN.fullmatch(word):
                 self.words[word] = self._whole(word)
@@ -64,32 +67,32 @@ class WordEncoder:
             else:
                 pieces.append((word, self.pattern.findall(word.lower())))
         lower = [word.lower() for word in whole]
-        tokens.update(lower, *[p for _, p in pieces])
-        self._merge([t for t in tokens if t not in self.tokens])
-        known = self.tokens.__getitem__
+        known = self._merged(list(set(lower).union(*[p for _, p in pieces]))).__getitem__
         self.words.update(zip(whole, map(known, lower)))
         self.words.update([(word, b"".join(map(known, p))) for word, p in pieces])
 
-    def _merge(self, tokens):
-        """Run the merge model over many pre-tokens at once; each one's ids end with a word-end token."""
+    def _merged(self, tokens):
+        """Pre-tokens with their payloads; the merge model runs over many at once, each one's ids end with a word-end token."""
         parts = [tokens[at : at + CHUNK] for at in range(0, len(tokens), CHUNK)]
         shown = [" ".join([t if t.isascii() and t.isprintable() else self._shown(t) for t in part]) for part in parts]
+        merged = {}
         for part, encoded in zip(parts, self.merges.encode_batch_fast(shown, add_special_tokens=False)):
             ids = np.array(encoded.ids, "<u4")
             stops = ((np.flatnonzero(self.is_end[ids]) + 1) * 4).tolist()
             payload = ids.tobytes()
-            self.tokens.update(zip(part, [payload[a:b] for a, b in zip([0, *stops], stops)]))
+            merged.update(zip(part, [payload[a:b] for a, b in zip([0, *stops], stops)]))
+        return merged
 
     def _shown(self, token):
         return "".join([self.chars[b] for b in token.encode()])
 
 
-def batches(column, most_chars=4_000_000):
+def batches(column, most_chars=1_000_000):
     """Slices of an Arrow text column holding about ``most_chars`` each (one text at least)."""
     texts, chars = [], 0
-    for text in column.to_pylist():
-        texts.append(text)
-        chars += len(text)
+    for text in column:
+        texts.append(text.as_py())
+        chars += len(texts[-1])
         if chars >= most_chars:
             yield texts
             texts, chars = [], 0

@@ -136,3 +136,42 @@ def test_queries(spark, sf, whole, library):
         ids = library(texts[r["doc_id"]])
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_block_splits_as_the_pattern_does():
+    """Texts of odd white space and repeated pieces, through one block and through several."""
+    import random
+
+    import regex
+
+    rng = random.Random(7)
+    pool = ["a", "don't", "x1y22", " ", "  ", "\n", " \n", "\t", "é", "中文", "!!", "'s", " ", "B-c", "", "word", "word"]
+    texts = ["".join(rng.choice(pool) + rng.choice(["", " "]) for _ in range(rng.randrange(12))) for _ in range(400)]
+    pattern = regex.compile(PATTERN)
+    block = bytebpe.Block(pattern)
+    for i, text in enumerate(texts):
+        block.add(i, text)
+    _, keys, counts, at, words = block.close()
+    done = 0
+    for key, count in zip(keys, counts):
+        assert [words[p].decode() for p in at[done : done + count]] == pattern.findall(texts[key])
+        done += count
+    assert done == len(at) and len(words) == len(set(words))
+
+
+def test_merger_equals_the_library():
+    merger = bytebpe.Merger(bytebpe.read_ranks(RANKS), PATTERN)
+    words = [b"word", b" word", b" 12", b"a", b" ", b"\n", b"12", "é".encode(), b" x", b"A1", b"!?", b" " + b"z" * 50, b""]
+    assert merger.ids(words) == {w: np.array(merger.merge.encode_ordinary(w.decode()), "<u4").tobytes() for w in words}
+    assert merger.ids([]) == {}
+
+
+def test_word_cache_of_any_size_gives_the_same_ids():
+    import random
+
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["the", "Word,", "it's"]) + str(rng.randrange(300)) * rng.randrange(2) for _ in range(50)) for _ in range(40)]
+    small, large = WordEncoder(WORDS, 5), WordEncoder(WORDS)
+    want = large.payloads(texts)
+    for _ in range(2):
+        assert [p for t in texts for p in small.payloads([t])] == want
