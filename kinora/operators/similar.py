@@ -21,9 +21,11 @@ class ItemSimilarity:
     row instead of n * n.  A group with several members lists itself.
     """
 
-    def __init__(self, pairs, members=None):
+    def __init__(self, pairs, members=None, groups=None):
         self.pairs = pairs
         self.members = members
+        # The members again, dealt out by source where the tables are stored so.
+        self.groups = members if groups is None else groups
 
     def store(self):
         """Write the tables to the shared folder, for use by several jobs or micro-batches."""
@@ -49,7 +51,7 @@ class ItemSimilarity:
             wanted = top_k(wanted, ["source"], best_first(item="target"), n, rank="place").drop("place")
             # Members tie on score and rank by id, so n members of a group are enough for any list.
             short = top_k(
-                self.members.select(F.col("source").alias("target"), F.col("mid").alias("item")),
+                self.groups.select(F.col("source").alias("target"), F.col("mid").alias("item")),
                 ["target"], [F.col("item").asc()], n, rank="place",
             ).drop("place")
             entries = wanted.join(short, "target")

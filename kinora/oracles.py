@@ -319,3 +319,13 @@ FROM events WHERE event_type IN ('error', 'signup')""",
 ORACLES["keyword_search_index"] = ORACLES["keyword_search"].replace("<= 1", "<= 2")
 
 ORACLES["item_cooccurrence_incremental"] = ORACLES["item_cooccurrence"]
+
+_EXACT = TFIDF.replace(f"buckets(token, bucket) AS (VALUES {_values}),\n", "").replace(
+    "CAST(bucket AS INTEGER) AS bucket", "token AS bucket").replace("JOIN buckets USING (token) GROUP BY mid, bucket", "GROUP BY mid, token")
+ORACLES.update(
+    content_recs_exact=ORACLES["content_recs"].replace(TFIDF, _EXACT),
+    item_cf_summary=_with(RATINGS, ITEM_PAIRS, """
+SELECT mid1 AS mid, count(*) AS n_neighbours, CAST(sum(cocount) AS BIGINT) AS cocounts, max(cocount) AS best_cocount,
+       round(avg(score), 6) AS mean_score FROM item_sims GROUP BY mid1"""),
+)
+ORACLES["user_recent_ratings_expiring"] = ORACLES["user_recent_ratings"]

@@ -28,6 +28,19 @@ def cooccurrence(ratings, distinct_users=False, **tuning):
     return _named(pair_products(rows, counts, **tuning))
 
 
+def summaries(ratings, distinct_users=False, **tuning):
+    """Per movie, over all movies with a common user: (mid, n_neighbours, cocounts, best_cocount, mean_score).
+
+    The pairs are summed up in the task that finds them and never shuffled or written.
+    """
+    return cooccurrence(ratings, distinct_users, **tuning).groupBy(F.col("mid1").alias("mid")).agg(
+        F.count(F.lit(1)).alias("n_neighbours"),
+        F.sum("cocount").alias("cocounts"),
+        F.max("cocount").alias("best_cocount"),
+        F.avg("score").alias("mean_score"),
+    )
+
+
 def _named(pairs):
     return pairs.select(
         F.col("e").cast("int").alias("mid1"),

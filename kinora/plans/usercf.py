@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from kinora.operators.pairs import pair_products
+from kinora.operators.skew import salted_join
 from kinora.operators.topk import top_k
 from kinora.session import stored
 
@@ -34,9 +35,11 @@ def recommend(ratings, users=TOP_USERS, items=TOP_ITEMS, **tuning):
     near = _similar(vectors, users, **tuning).select(
         "uid", "other_uid", F.col("score").alias("closeness")
     )
+    near = stored(ratings.sparkSession, near, "near-users")
     rated = vectors.select(F.col("uid").alias("other_uid"), "mid", "w")
     closeness = F.col("closeness")
-    votes = near.join(rated, "other_uid").groupBy("uid", "mid").agg(
+    # Somebody may be near to a large part of all users.
+    votes = salted_join(near, rated, "other_uid").groupBy("uid", "mid").agg(
         F.try_divide(F.sum(closeness * F.col("w")), F.sum(closeness)).alias("score")
     ).where(F.col("score").isNotNull())
     unseen = votes.join(vectors.select("uid", "mid"), ["uid", "mid"], "left_anti")

@@ -15,6 +15,7 @@ from kinora.session import scratch_path, stored
 from kinora.sources import fixtures as fx
 from kinora.sources import streams, tables
 from kinora.streaming import cocounts, recommender, versions
+from kinora.streaming import lists as recent_lists
 
 QUERIES = {}
 
@@ -140,6 +141,12 @@ def item_cooccurrence_incremental(spark, sf):
     return cocounts.similarity(spark, path).select("mid1", "mid2", "cocount", "count1", "count2")
 
 
+@query
+def item_cf_summary(spark, sf):
+    """Per movie, over all its co-occurring movies."""
+    return itemcf.summaries(_ratings(spark, sf)).select("mid", "n_neighbours", "cocounts", "best_cocount", _r6("mean_score"))
+
+
 @query
 def item_cf_similarity(spark, sf):
     return itemcf.cooccurrence(_ratings(spark, sf)).select("mid1", "mid2", _r6("score"))
@@ -240,6 +247,15 @@ def content_recs(spark, sf):
     )
 
 
+@query
+def content_recs_exact(spark, sf):
+    """The same with a vocabulary of the words themselves instead of hash buckets."""
+    pairs = content.similarity(_movies(spark, sf), buckets=None).pairs
+    return pairs.select(
+        F.col("source").alias("group_mid"), F.col("target").alias("other_group_mid"), _r6("score")
+    )
+
+
 @query
 def content_neighbour_counts(spark, sf):
     counts = content.similarity(_movies(spark, sf)).neighbour_counts()
@@ -587,6 +603,18 @@ def _newest(recents):
     return recents.where("rank = 1").select("uid", "mid")
 
 
+@query
+def user_recent_ratings_expiring(spark, sf):
+    """The same lists from stored tables, with users that expire between four micro-batches and come back."""
+    events = stored(spark, fx.rating_events(spark, sf), "events")
+    path = scratch_path(spark, "expiring-lists")
+    for i in range(4):
+        recent_lists.add(events.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == i), path, 2 * i)
+        recent_lists.add(events.limit(0), path, 2 * i + 1)  # a batch without anybody: all are idle
+        recent_lists.expire(spark, path, idle=1)
+    return recent_lists.current(spark, path).select("uid", "rank", "event_id", "mid", "score", "timestamp")
+
+
 @query
 def sim_candidates(spark, sf):
     similarity = content.similarity(_movies(spark, sf)).store()

@@ -133,7 +133,7 @@ def test_compaction_keeps_the_newest_rows(spark, tmp_path):
         versions.append(spark.createDataFrame([("x",)], "uid string"), path, 4)
 
 
-@pytest.mark.parametrize("step", ["_write_folder", "_publish", "_put_text", "rename", "hint"])
+@pytest.mark.parametrize("step", ["_write_folder", "publish", "_put_text", "rename", "hint"])
 @pytest.mark.parametrize("action", ["append", "compact"])
 def test_a_failure_at_any_step_loses_nothing(spark, tmp_path, monkeypatch, step, action):
     """The step fails once; the log reads as before or as after the change, and the change can be repeated."""
