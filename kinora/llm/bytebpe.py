@@ -19,6 +19,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 import zstandard
@@ -27,13 +28,17 @@ from pyspark.sql import functions as F
 from kinora.llm.common import keyed_text, partitions, stored
 from kinora.llm.packing import _runs
 
+#: Bytes of text of a block.
 BLOCK_CHARS = 4_000_000
 #: Pre-tokens of the documents that are put together at once.
 DOCUMENT_IDS = 1_000_000
 #: Words that one call of the merges gets.
 CHUNK = 2_000
-#: A space that a run of white space may take in: such texts are split as a whole.
-SPACE_RUN = regex.compile(r" \s|\s \Z")
+#: A space that a run of white space may take in (all white space, and a little more): such texts are matched as a whole.
+_WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SPACE_RUN = rf" {_WHITE}|{_WHITE} \z"
+#: Pieces that are one pre-token: Latin letters, and what follows a space at the end of a text.
+LETTERS = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]*$"
 
 POSITIONS = "block string, doc_ids array<long>, counts array<long>, at binary"
 WORDS = "block string, bucket int, words binary, lengths binary, at binary"
@@ -46,14 +51,6 @@ def read_ranks(text):
     return {base64.b64decode(token): int(rank) for token, rank in map(str.split, text.splitlines())}
 
 
-class _Numbers(dict):
-    """Thing -> its number in order of appearance."""
-
-    def __missing__(self, thing):
-        number = self[thing] = len(self)
-        return number
-
-
 def _expanded(starts, lengths, chosen):
     """Places of the entries of the ``chosen`` lists, one list after the other."""
     sizes = lengths[chosen]
@@ -61,64 +58,83 @@ def _expanded(starts, lengths, chosen):
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes - starts[chosen], sizes)
 
 
-class Block:
-    """Documents of a block: texts in, distinct words and their positions out.
+def split_block(texts, pattern):
+    """Pre-tokens of an Arrow array of texts: (their number per text, positions in the words, words by falling frequency).
 
-    A space before a non-space always starts a pre-token, so texts are cut there, and all distinct pieces of the block are
-    matched in one go: a match that starts with a space starts a piece.
+    A space before a non-space always starts a pre-token, so texts are cut there, and each distinct piece of the block is
+    matched once: pieces of letters are pre-tokens as they are, the others are matched in one go, where a match that starts
+    with a space starts a piece.
     """
-
-    def __init__(self, pattern):
-        self.pattern = pattern
-        self.keys, self.chars = [], 0
-        self.pieces, self.others, self.texts = _Numbers(), _Numbers(), []  # others: beginnings and whole texts
-
-    def add(self, key, text):
-        whole = SPACE_RUN.search(text)
-        head, *rest = [text] if whole else text.split(" ")
-        self.keys.append(key)
-        self.texts.append((self.others[head], np.fromiter(map(self.pieces.__getitem__, rest), np.int32, len(rest))))
-        self.chars += len(text)
-
-    def close(self):
-        """(name, keys, pre-tokens per document, positions, words by falling frequency)."""
-        found = self.pattern.findall("".join([" " + piece for piece in self.pieces]))
-        firsts = [i for i, match in enumerate(found) if match[0] == " "]
-        lengths = np.diff(np.array([*firsts, len(found)], np.int64))
-        other = [self.pattern.findall(text) for text in self.others]
-        shift = len(lengths)
-        lengths = np.concatenate([lengths, np.array([len(o) for o in other], np.int64)])
-        numbers = _Numbers()
-        for o in other:
-            found += o
-        flat = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
-        starts = np.cumsum(lengths) - lengths
-        pieces = [np.append(shift + head, rest) for head, rest in self.texts]
-        counts = [int(lengths[p].sum()) for p in pieces]
-        at = flat[_expanded(starts, lengths, np.concatenate(pieces))]
-        times = np.bincount(at, minlength=len(numbers))
-        order = np.argsort(-times, kind="stable")
-        place = np.empty(len(order), "<u4")
-        place[order] = np.arange(len(order), dtype="<u4")
-        listed = list(numbers)
-        words = [listed[i].encode("utf-8", "surrogatepass") for i in order]
-        name = hashlib.blake2b(repr((self.keys, counts)).encode(), digest_size=16)
-        name.update(b"\0".join(words))
-        return name.hexdigest(), self.keys, counts, place[at], words
+    runs = pc.match_substring_regex(texts, SPACE_RUN).to_numpy(zero_copy_only=False)
+    cut = np.flatnonzero(~runs)
+    split = pc.split_pattern(texts.take(pa.array(cut)), " ")
+    bounds = split.offsets.to_numpy().astype(np.int64)
+    values, rest = split.flatten(), np.ones(int(bounds[-1]), bool)
+    rest[bounds[:-1]] = False
+    encoded = values.filter(pa.array(rest)).dictionary_encode()
+    chosen, pieces = encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
+    # The beginning of a text has no space before it: it is matched by itself, as texts with runs of spaces are.
+    heads = values.filter(pa.array(~rest)).to_pylist()
+    other = [pattern.findall(text) for text in (*heads, *texts.take(pa.array(np.flatnonzero(runs))).to_pylist())]
+    plain = pc.match_substring_regex(pieces, LETTERS).to_numpy(zero_copy_only=False)
+    found = pattern.findall("".join([" " + piece for piece in pieces.filter(pa.array(~plain)).to_pylist()]))
+    firsts = [i for i, match in enumerate(found) if match[0] == " "]
+    # Tokens of all pieces, one list after the other: letters, matched pieces, beginnings and whole texts.
+    letters = pc.binary_join_element_wise(pa.scalar(""), pieces.filter(pa.array(plain)), " ")
+    tokens = pa.concat_arrays([letters, pa.array(found, pa.string()), pa.array([t for o in other for t in o], pa.string())]).dictionary_encode()
+    lengths = np.concatenate([np.ones(len(letters), np.int64), np.diff([*firsts, len(found)]).astype(np.int64), np.array([len(o) for o in other], np.int64)])
+    number = np.empty(len(pieces), np.int64)  # piece -> its list
+    number[plain], number[~plain] = np.arange(len(letters)), np.arange(len(letters), len(pieces))
+    lists = np.empty(len(values), np.int64)
+    lists[rest], lists[~rest] = number[chosen], len(pieces) + np.arange(len(heads))
+    # Back in the order of the texts.
+    wholes = len(pieces) + len(heads) + np.arange(int(runs.sum()))
+    sizes = np.ones(len(texts), np.int64)
+    sizes[cut] = np.diff(bounds)
+    starts = np.cumsum(sizes) - sizes
+    ordered = np.empty(int(sizes.sum()), np.int64)
+    ordered[np.repeat(starts[cut], sizes[cut]) + np.arange(len(lists)) - np.repeat(bounds[:-1], sizes[cut])] = lists
+    ordered[starts[runs]] = wholes
+    flat = tokens.indices.to_numpy().astype(np.int64)
+    at = flat[_expanded(np.cumsum(lengths) - lengths, lengths, ordered)]
+    ends = np.concatenate([[0], np.cumsum(lengths[ordered])])
+    counts = ends[starts + sizes] - ends[starts]
+    times = np.bincount(at, minlength=len(tokens.dictionary))
+    order = np.argsort(-times, kind="stable")[: int((times > 0).sum())]
+    place = np.zeros(len(times), "<u4")
+    place[order] = np.arange(len(order), dtype="<u4")
+    return counts, place[at], tokens.dictionary.take(pa.array(order))
 
 
 def _blocks(arrow, pattern, block_chars):
-    """Blocks of documents; the same for the same texts."""
+    """(name, doc ids, pre-tokens per document, positions, words) of blocks of documents; the same for the same texts."""
     compiled = regex.compile(pattern)
-    block = Block(compiled)
+    held, size = [], 0
+
+    def close():
+        keys = [k for part in held for k in part.column(0).to_pylist()]
+        counts, at, words = split_block(pa.concat_arrays([part.column(1) for part in held]), compiled)
+        words = words.cast(pa.binary()).to_pylist()
+        name = hashlib.blake2b(repr((keys, counts.tolist())).encode(), digest_size=16)
+        name.update(b"\0".join(words))
+        return name.hexdigest(), keys, counts, at, words
+
     for batch in arrow:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            block.add(key, text.as_py())
-            if block.chars >= block_chars:
-                yield block.close()
-                block = Block(compiled)
-    if block.keys:
-        yield block.close()
+        if not batch.num_rows:
+            continue
+        ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            done = ends[start - 1] if start else 0
+            stop = min(batch.num_rows, int(np.searchsorted(ends, done + block_chars - size)) + 1)
+            held.append(batch.slice(start, stop - start))
+            size += int(ends[stop - 1] - done)
+            start = stop
+            if size >= block_chars:
+                yield close()
+                held, size = [], 0
+    if held:
+        yield close()
 
 
 class Merger:
@@ -155,6 +171,18 @@ def encode(docs, ranks_text, pattern, key="doc_id", text="text", block_chars=BLO
 
     Each match of ``pattern`` is merged by itself; there are no special tokens.
     """
+    return _coded(docs, ranks_text, pattern, key, text, block_chars, stable).mapInArrow(_reassembled, ENCODED)
+
+
+def round_trip(docs, ranks_text, pattern, key="doc_id", text="text", block_chars=BLOCK_CHARS, stable=True):
+    """:func:`encode` and :func:`decode` in one step: doc_id, n_tokens, ids, decoded and written."""
+    joined = _joined(docs.sparkSession.sparkContext.broadcast(ranks_text), "ids", True)
+    coded = _coded(docs, ranks_text, pattern, key, text, block_chars, stable)
+    return coded.mapInArrow(lambda arrow: joined(_reassembled(arrow)), ENCODED + ", decoded binary, written string")
+
+
+def _coded(docs, ranks_text, pattern, key, text, block_chars, stable):
+    """Blocks of documents: their positions, and their words with ids."""
     spark = docs.sparkSession
     buckets = 2 * partitions(spark)
     rows = keyed_text(docs, key, text)
@@ -217,7 +245,7 @@ def encode(docs, ranks_text, pattern, key="doc_id", text="text", block_chars=BLO
         .groupBy("block")
         .agg(F.collect_list(F.struct("at", "lengths", "ids")).alias("coded"))
     )
-    return rows.mapInArrow(positions, POSITIONS).join(coded, "block", "left").mapInArrow(_reassembled, ENCODED)
+    return rows.mapInArrow(positions, POSITIONS).join(coded, "block", "left")
 
 
 def _reassembled(arrow):
@@ -267,12 +295,16 @@ def decode(df, ranks_text, ids="ids", written=False):
     The table has one row per token of the vocabulary whatever the data, so it is a map-side join by token id.  Null
     and empty lists decode to no bytes.  ``written`` adds the ids as decimal numbers joined by one space.
     """
-    ranks = df.sparkSession.sparkContext.broadcast(ranks_text)
     added = {"decoded": F.lit(b""), **({"written": F.lit("")} if written else {})}
     columns = [c for c in df.columns if c not in added]
-    schema, names = df.select(*columns).withColumns(added).schema, list(added)
+    schema = df.select(*columns).withColumns(added).schema
+    return df.select(*columns).mapInArrow(_joined(df.sparkSession.sparkContext.broadcast(ranks_text), ids, written), schema)
+
+
+def _joined(ranks, ids, written):
+    names = ["decoded", *(["written"] if written else [])]
 
-    def joined(arrow):
+    def run(arrow):
         table = {i: token for token, i in read_ranks(ranks.value).items()}
         shown = {i: str(i) for i in table}
         for batch in arrow:
@@ -285,4 +317,4 @@ def decode(df, ranks_text, ids="ids", written=False):
             more = [pa.array(texts, pa.binary()), *([pa.array(numbers, pa.string())] if written else [])]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *names])
 
-    return df.select(*columns).mapInArrow(joined, schema)
+    return run

@@ -6,7 +6,7 @@ A store is a folder:
   order; shards in ascending key order too.
 - ``index-NNNNNN.mph``: one per hash part of the keys.  Header of four unsigned 64-bit integers (keys, buckets, id_bytes,
   part), then int32 displacements per bucket, then per slot: fingerprint (u32), shard (u32), offset in ids (u64), ids (u64).
-- ``manifest``: Parquet (shard, base, ids, documents); ``base`` counts the ids of all shards before.
+- ``manifest``: Parquet (shard, base, ids, documents, id_bytes); ``base`` counts the ids of all shards before.
 
 Key hash: XXH64 of the key, then of its ordinal among equal keys with the first hash as seed (Spark's ``xxhash64``,
 seed 42).  The part is the hash modulo the number of parts; bucket and slot come from mixes of it; the fingerprint from
@@ -183,9 +183,10 @@ def write(docs, path, tokenizer_json, key="doc_id", text="text", shards=None):
     sums = entries.groupBy("shard").agg(F.sum("n_tokens").alias("ids"), F.count(F.lit(1)).alias("documents"))
     # One row per shard; the running total needs them in order.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    sums.withColumn("base", F.coalesce(F.sum("ids").over(before), F.lit(0))).write.parquet(f"{path}/manifest")
-    parts = max(partitions(spark), -(-entries.count() // KEYS_PER_PART))
     id_bytes = np.dtype(wide).itemsize
+    based = sums.withColumn("base", F.coalesce(F.sum("ids").over(before), F.lit(0)))
+    based.withColumn("id_bytes", F.lit(id_bytes)).write.parquet(f"{path}/manifest")
+    parts = max(partitions(spark), -(-entries.count() // KEYS_PER_PART))
 
     def index(arrow):
         def flush(part, columns):
@@ -265,8 +266,10 @@ def lookup(spark, path, keys, parts):
     )
 
 
-def fetch(spark, path, located, id_bytes=2):
+def fetch(spark, path, located):
     """Payloads of located keys, with ``ids`` as little-endian unsigned 32-bit integers; one pass over each shard."""
+    about = spark.read.parquet(f"{path}/manifest").select("id_bytes").first()
+    id_bytes = about["id_bytes"] if about else 0
 
     def read(arrow):
         shard, source = None, None
@@ -295,14 +298,14 @@ def fetch(spark, path, located, id_bytes=2):
     )
 
 
-def contents(spark, path, docs, parts, key="doc_id", id_bytes=2):
+def contents(spark, path, docs, parts, key="doc_id"):
     """The stored document of every row of ``docs``, by keyed access: doc_id, ordinal, start, n_tokens, ids."""
     keys = (
         docs.groupBy(F.coalesce(F.col(key).cast("long"), F.lit(LEAST_LONG)).alias("key"))
         .agg(F.count(F.lit(1)).alias("rows"))
         .select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("ordinal"))
     )
-    found = fetch(spark, path, lookup(spark, path, keys, parts), id_bytes)
+    found = fetch(spark, path, lookup(spark, path, keys, parts))
     base = spark.read.parquet(f"{path}/manifest").select("shard", "base")
     return found.join(base, "shard").select(
         F.when(F.col("key") != LEAST_LONG, F.col("key")).alias("doc_id"),

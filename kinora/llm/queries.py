@@ -44,8 +44,7 @@ def op8_token_id_store(spark, sf):
 @query
 def op6_byte_bpe(spark, sf):
     ranks = vocabulary("byte_bpe_50k.tiktoken")
-    encoded = bytebpe.encode(read(spark, sf, "documents"), ranks, PATTERN)
-    both = bytebpe.decode(encoded, ranks, written=True)
+    both = bytebpe.round_trip(read(spark, sf, "documents"), ranks, PATTERN)
     return both.select("doc_id", "n_tokens", F.sha2("written", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -93,6 +92,7 @@ def op2_pii(spark, sf):
         *(f"n_{kind}" for kind in pii.KINDS),
         F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
         pii.written(F.col("spans")).alias("spans"),
+        "n_spans",
     )
 
 

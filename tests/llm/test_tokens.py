@@ -5,6 +5,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -148,15 +149,13 @@ def test_block_splits_as_the_pattern_does():
     pool = ["a", "don't", "x1y22", " ", "  ", "\n", " \n", "\t", "é", "中文", "!!", "'s", " ", "B-c", "", "word", "word"]
     texts = ["".join(rng.choice(pool) + rng.choice(["", " "]) for _ in range(rng.randrange(12))) for _ in range(400)]
     pattern = regex.compile(PATTERN)
-    block = bytebpe.Block(pattern)
-    for i, text in enumerate(texts):
-        block.add(i, text)
-    _, keys, counts, at, words = block.close()
-    done = 0
-    for key, count in zip(keys, counts):
-        assert [words[p].decode() for p in at[done : done + count]] == pattern.findall(texts[key])
-        done += count
-    assert done == len(at) and len(words) == len(set(words))
+    for some in (texts, texts[:1], texts[5:9], ["x"], [""], ["", ""]):
+        counts, at, words = bytebpe.split_block(pa.array(some), pattern)
+        words, done = words.to_pylist(), 0
+        for text, count in zip(some, counts):
+            assert [words[p] for p in at[done : done + count]] == pattern.findall(text)
+            done += count
+        assert done == len(at) and len(words) == len(set(words)) == len(set(at.tolist()))
 
 
 def test_merger_equals_the_library():
@@ -175,3 +174,26 @@ def test_word_cache_of_any_size_gives_the_same_ids():
     want = large.payloads(texts)
     for _ in range(2):
         assert [p for t in texts for p in small.payloads([t])] == want
+
+
+def test_store_of_a_wide_vocabulary(spark, docs_of):
+    """Above 65,536 tokens ids take four bytes; what is read back is what was written."""
+    import json
+
+    wide = json.loads(WORDS)
+    vocabulary = wide["model"]["vocab"]
+    merges, base = wide["model"]["merges"], max(vocabulary.values()) + 1 + len(wide["added_tokens"])
+    assert base < 1 << 16
+    vocabulary.update({f"unused{i}": base + i for i in range(70_000 - base)})
+    tokens = [t for t, i in vocabulary.items() if 1000 <= i < 1200]
+    for i, token in enumerate(tokens):  # some words' ids move above the two-byte range
+        other = f"unused{70_000 - base - 1 - i}"
+        vocabulary[token], vocabulary[other] = vocabulary[other], vocabulary[token]
+    text = json.dumps(wide)
+    whole = Tokenizer.from_str(text)
+    texts = {i: " ".join(t.replace("</w>", "") for t in tokens[i::7] if t.replace("</w>", "").isalpha()) for i in range(7)}
+    want = {i: [*whole.encode(t, add_special_tokens=False).ids, 1] for i, t in texts.items()}
+    assert max(max(x) for x in want.values()) > 1 << 16 and merges
+    docs, path = docs_of(list(texts.items())), scratch_path(spark, "wide-store")
+    got = idstore.contents(spark, path, docs, idstore.write(docs, path, text)).collect()
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in got} == want
