@@ -41,6 +41,7 @@ MOST_LIGHT, MOST_SUBSETS = 24, 500
 #: What a row of an inverted list costs against a subset row: its list is compared, its pairs are verified.
 LIST_COST = 4
 CLASS_GROWTH = 1.5
+BITS_APART = 4
 FILTER_BITS = 1 << 24
 MAX_CACHED_WORDS = 200_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -100,7 +101,8 @@ class Scheme:
         return least + spare, spare
 
     def bits(self, i):
-        return 1 << max(6, (16 * (self.apart(2 * self.top(i)) + 1) - 1).bit_length())
+        """Bits of a class's bitmap: a few per element in which linked sets may differ, so unrelated sets stand out."""
+        return 1 << max(6, (BITS_APART * (self.apart(2 * self.top(i)) + 1) - 1).bit_length())
 
     def list_keys(self, hashes):
         """Signed 64-bit keys of the inverted lists that a heavy set (or one near the boundary) is in."""
@@ -300,6 +302,11 @@ def _cells(spark, lists, nodes, comps):
         F.sequence(F.lit(0), F.col("chunks") - 1),
         lambda other: F.least(F.col("own"), other) * F.col("chunks") + F.greatest(F.col("own"), other),
     )
+    if comps is not None:
+        # Lists within one component have nothing left to join: their bitmaps stay where they are.
+        placed = lists.join(comps, "node", "left").select("list", F.coalesce("root", "node").alias("comp"))
+        apart = placed.groupBy("list").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
+        lists = lists.join(stored(spark, apart.select("list"), "open-lists"), "list", "left_semi")
     members = lists.join(sizes, "list", "left").withColumn("chunks", chunks).withColumn("own", own)
     members = members.withColumn("cell", F.explode(cells)).select("list", "cell", "node")
     about = nodes.select("node", "n", "bitmap")
