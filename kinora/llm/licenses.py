@@ -10,10 +10,12 @@ Defined cases: null and empty texts have no words, no labels and score 0; null a
 phrases are found in the whole text, overlaps included; the name of any length inside a sentence belongs to its detection; an empty table gives no rows.
 """
 
+import bisect
 import functools
 import itertools
 import re
 
+import numpy as np
 import pyarrow as pa
 
 from kinora.llm.common import keyed_text
@@ -212,32 +214,41 @@ class Scanner:
         if not present and self.base_words.isdisjoint(words):
             return len(words), [], []
         joined = b" " + b" ".join(words) + b" "
+        blanks = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)  # word i starts after blank i
         places = []
         for phrase, label in self.base:
-            at = joined.find(phrase)
+            at, found = joined.find(phrase), []
             while at >= 0:
-                places.append((joined.count(b" ", 0, at), label))
+                found.append(at)
                 at = joined.find(phrase, at + 1)
+            places += [(i, label) for i in np.searchsorted(blanks, found).tolist()]
         seen, found = set(words) if present else (), []
         for i in sorted({i for word in present for i in self.by_keyword[word]}):
             rule = self.rules[i]
             if all(not gate.isdisjoint(seen) for gate in rule.gates[1:]):
-                for match in rule.pattern.finditer(joined):
-                    start = joined.count(b" ", 0, match.start() - 1)
-                    found.append((start, start + match[0].count(b" ") + 1, rule))
+                spans = np.array([m.span() for m in rule.pattern.finditer(joined)], np.int64).reshape(-1, 2)
+                starts, ends = np.searchsorted(blanks, spans[:, 0] - 1), np.searchsorted(blanks, spans[:, 1])
+                found += zip(starts.tolist(), ends.tolist(), itertools.repeat(rule))
         return len(words), places, suppress(found)
 
 
 def suppress(found):
-    """Detections (start, end, rule) that lie in no other one of at least their priority."""
-    kept = []
-    # A container of at least equal priority comes before what it contains.
-    ordered = sorted(enumerate(found), key=lambda x: (-x[1][2].priority, x[1][0] - x[1][1], x[0]))
-    spans = []  # kept intervals; few per text after suppression
-    for _, (start, end, rule) in ordered:
-        if not any(s <= start and end <= e for s, e in spans):
-            spans.append((start, end))
-            kept.append((start, end, rule.label, rule.confidence))
+    """Detections (start, end, rule) that lie in no other one of at least their priority.
+
+    A sweep per priority, from the highest down: by start, longest first, with the furthest end so far, and the furthest end of
+    higher priorities up to each start.
+    """
+    kept, taken = [], []  # taken: intervals of higher priorities by start, with the furthest end up to each
+    for _, level in itertools.groupby(sorted(enumerate(found), key=lambda x: (-x[1][2].priority, x[1][0], -x[1][1], x[0])), key=lambda x: x[1][2].priority):
+        starts, furthest = [s for s, _ in taken], list(itertools.accumulate((e for _, e in taken), max))
+        end_so_far, own = -1, []
+        for _, (start, end, rule) in level:
+            above = bisect.bisect_right(starts, start)
+            if end > end_so_far and not (above and furthest[above - 1] >= end):
+                kept.append((start, end, rule.label, rule.confidence))
+                own.append((start, end))
+            end_so_far = max(end_so_far, end)
+        taken = sorted(taken + own)
     return sorted(kept)
 
 

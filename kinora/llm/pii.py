@@ -219,10 +219,11 @@ def _is(kind):
 
 
 def scan(docs, key="doc_id", text="text", generalise=GENERALISE, remove=REMOVE):
-    """One row per document: counts per kind, base and all spans."""
+    """One row per document: counts per kind and of all spans, base and all spans."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     counts = [F.size(F.filter("base", _is(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
-    return find(rows, generalise, remove).select("doc_id", *counts, "base", "spans")
+    more = F.size("spans").cast("long").alias("n_spans")
+    return find(rows, generalise, remove).select("doc_id", *counts, "base", "spans", more)
 
 
 def _redacted(text, spans):

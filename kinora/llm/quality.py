@@ -8,7 +8,7 @@ last one before the first failure is taken (fixed sequence); strata and rules sh
 probability 1 - ``error`` no stratum loses more than ``risk`` of its good documents to the rules.  A stratum with too few
 labels for any proof has no rule.
 
-Defined cases: null and empty texts have no words and fail the base; a null stratum is a stratum of its own; a null label
+Defined cases: null and empty texts have no words and fail the base; a null stratum and an empty one are one stratum; a null label
 is no label; a document labelled twice counts twice; without labels only the base rejects; an empty table gives no rows.
 """
 

@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinora.llm.common import stored
+from kinora.operators.skew import salted_join
 
+#: Urls of a host that one task joins with its words.
+URLS_PER_HOST = 200
 MAX_LABEL, MAX_WORD = 63, 20
 SMOOTHING = 1.0
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -106,11 +109,11 @@ def judge(pages, rules, key="page_id", url="url", html="html"):
     rows = rows.withColumn("hit", ruled(F.col("host"), F.col("path"), rules)).withColumn("row", F.monotonically_increasing_id())
     rows = stored(spark, rows, "urls")
     labels = segmented(rows.select("host").distinct(), stored(spark, word_counts(pages, html), "word-counts"))
-    # Host words, one row per distinct host.
+    # Host words, one row per distinct host; a label counts as often as the host has it.
     hosts = (
         rows.select("host").distinct()
-        .select("host", F.explode(F.array_distinct(F.split("host", r"[^\p{L}\p{N}]+"))).alias("label"))
-        .join(labels, "label")
+        .select("host", F.explode(F.split("host", r"[^\p{L}\p{N}]+")).alias("label"))
+        .join(labels, "label", "left")
         .groupBy("host")
         .agg(F.flatten(F.collect_list("words")).alias("host_words"))
     )
@@ -119,7 +122,8 @@ def judge(pages, rules, key="page_id", url="url", html="html"):
         F.transform(F.coalesce("host_words", F.array().cast("array<string>")), lambda x: F.concat(F.lit("h:"), x)),
         F.transform(digits, lambda x: F.concat(F.lit("p:"), x)),
     )
-    tokens = stored(spark, rows.join(hosts, "host", "left").select("row", F.col("hit.verdict").alias("known"), tokens.alias("tokens")), "url-tokens")
+    hosted = salted_join(rows, hosts, "host", URLS_PER_HOST)  # a host may have a third of all urls
+    tokens = stored(spark, hosted.select("row", F.col("hit.verdict").alias("known"), tokens.alias("tokens")), "url-tokens")
     blocked = F.col("known") == "block"
     listed = tokens.where("known is not null").select("known", F.explode("tokens").alias("token"))
     weights = listed.groupBy("token").agg(F.count_if(blocked).alias("block"), F.count_if(~blocked).alias("allow"))

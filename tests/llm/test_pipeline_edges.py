@@ -1,0 +1,62 @@
+"""The whole chain of stages over odd tables."""
+
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from kinora.llm.queries import vocabulary
+from kinora.llm.wordbpe import WordEncoder
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def written(spark, folder, docs, labels):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def clash(docs):
+    """Columns with the names that the stages use inside."""
+    for name in ("row", "q", "tid", "spans", "base", "kept", "text2", "rule", "component_id", "copy", "start", "ids"):
+        docs = docs.selectExpr("*", f"concat('c', doc_id) AS `{name}`")
+    return docs
+
+
+@pytest.fixture(scope="module")
+def good():
+    """Documents that nothing rejects, none like another."""
+    return {100 + i: " ".join(f"w{i}x{j} common{j % 11}" for j in range(40)) for i in range(12)}
+
+
+def test_odd_rows_through_all_stages(spark, docs_of, odd, good, tmp_path):
+    rows = [*odd, *good.items(), (102, good[102]), (None, good[103] + " tail"), (300, good[104]), (301, "mail me@x.org " + good[105][50:])]
+    docs = clash(docs_of(rows).repartition(3))
+    sf = written(spark, tmp_path, docs, [(100, 1, 0), (101, 0, 1), (102, None, None), (None, 1, 1), (999, 1, 0)])
+    read = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, read, sf)
+        assert kept.columns == docs.columns, name
+    pieces = corpus_pipeline.run(spark, sf).collect()
+    keys = {r["doc_id"] for r in pieces}
+    assert set(good) <= keys and None in keys and 300 not in keys  # 300 repeats 104
+    encoder = WordEncoder(vocabulary("word_bpe_49k.json"))
+    for key, text in good.items():
+        ids = np.append(np.frombuffer(encoder.payloads([text])[0], "<u4"), 1).astype("<u4")
+        own = [r for r in pieces if r["doc_id"] == key]
+        copies = 2 if key == 102 else 1  # a repeated row is not weighed against itself
+        assert sum(r["length"] for r in own) == copies * len(ids) and {r["doc_tokens"] for r in own} == {len(ids)}
+        for r in own:
+            assert r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes())
+
+
+def test_empty_tables_through_all_stages(spark, docs_of, tmp_path):
+    sf = written(spark, tmp_path, clash(docs_of([])), [])
+    assert corpus_pipeline.run(spark, sf).count() == 0
+
+
+def test_nothing_is_kept(spark, docs_of, tmp_path):
+    sf = written(spark, tmp_path, clash(docs_of([(1, None), (2, "too short"), (None, None)])), [(1, 1, 1)])
+    assert corpus_pipeline.run(spark, sf).count() == 0
