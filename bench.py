@@ -12,7 +12,8 @@ HEADLINE = [
     "item_cf_topk", "content_recs", "content_top20", "factor_similarity", "als_user_recs",
     "als_item_similarity", "rmse_join", "log_filter", "user_recent_ratings", "realtime_scores",
     "stream_recs_current", "user_cf_recs", "demographic_recs", "keyword_search", "more_like_this",
-    "item_cooccurrence", "sim_candidates", "als_unseen_user_recs", "als_grid_rmse",
+    "item_cooccurrence", "sim_candidates", "als_unseen_user_recs", "als_grid_rmse", "chain_recs_current",
+    "keyword_search_index", "item_cooccurrence_incremental", "user_recent_ratings_expiring",
 ]
 
 
