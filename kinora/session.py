@@ -19,8 +19,6 @@ def build_session(app="kinora", master=None, **conf):
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # A table that is dealt out by one of the join columns stays where it is.
-        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         # Cut ranked lists before the exchange for long prefixes too (default: up to 1000).
         "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
         **conf,

@@ -4,8 +4,8 @@ The pairs are bucketed and sorted by source, the members once by movie and once
 columns finds them dealt out already: only the rows of the micro-batch move.  A new version is written beside the old one; a
 manifest names the version that counts (see ``versions``), so a reader has all of one or all of the other.
 
-Joins on (source, target) use the buckets of source where ``spark.sql.requireAllClusterKeysForCoPartition`` is off, as
-:func:`kinora.session.build_session` sets it.
+Joins on (source, target) use the buckets of source only where ``spark.sql.requireAllClusterKeysForCoPartition`` is off.  That
+is a choice of the session that serves micro-batches: in others it would let a hot first key decide where rows go.
 """
 
 import uuid

@@ -54,9 +54,10 @@ def test_micro_batch_does_not_move_the_stored_tables(spark, sf, tmp_path):
     seen = fx.ratings(spark, sf).select("uid", F.col("mid").alias("item")).distinct()
     wanted = {r["uid"]: r["recs"] for r in realtime.recommendations(triggers, recents, made, seen).collect()}
     assert {r["uid"]: r["recs"] for r in realtime.recommendations(triggers, recents, kept, seen).collect()} == wanted
-    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.requireAllClusterKeysForCoPartition")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     try:
         close = kept.pairs.where("score > 0.7")
         terms = triggers.select("uid", F.col("mid").alias("source")).join(recents.select("uid", F.col("mid").alias("target")), "uid")
