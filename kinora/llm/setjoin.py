@@ -95,9 +95,12 @@ class Scheme:
         return range(self.size_class(n), self.size_class(max(n, n * self.den // self.num)) + 1)
 
     def blocks(self, i):
-        """Number of blocks of a class and how many of them may be empty in a set without further ado."""
+        """Number of blocks of a class, and how many of them a set may leave out of its lists.
+
+        Two linked sets differ in all but more than that many blocks at most.
+        """
         least = self.apart(2 * self.top(i)) + 1
-        spare = least // 8 + 2
+        spare = least // 6 + 2
         return least + spare, spare
 
     def bits(self, i):
@@ -113,11 +116,13 @@ class Scheme:
             order = np.argsort(block, kind="stable")
             starts = np.flatnonzero(np.diff(block[order], prepend=-1))
             content = np.zeros(count, np.uint64)
-            filled = block[order][starts]
-            content[filled] = np.add.reduceat(mix(hashes[order]), starts)
+            content[block[order][starts]] = np.add.reduceat(mix(hashes[order]), starts)
             names = mix(content ^ mix(np.arange(count, dtype=np.uint64) + np.uint64(i << 32)))
-            # Two linked sets with few empty blocks agree in a filled one; only sets with many need the empty ones.
-            keys.append(names if count - len(filled) > spare else names[filled])
+            # The blocks with the fewest shingles say least and make the longest lists: a set leaves out those below a size, as
+            # long as they are no more than ``spare``.  Two linked sets agree in more blocks than that, so one of these is as
+            # large as the sizes of both and stands in the lists of both.
+            sizes = np.bincount(block, minlength=count)
+            keys.append(names[sizes >= np.partition(sizes, spare)[spare]])
         return np.concatenate(keys).astype(np.int64)
 
     def bitmap(self, hashes):
