@@ -1,0 +1,36 @@
+"""Inverted lists on blocks: linked sets always share one, and small blocks stay out."""
+
+import numpy as np
+import pytest
+
+from kinora.llm import setjoin
+
+
+@pytest.mark.parametrize("share", [(80, 100), (90, 100), (50, 100)])
+def test_linked_sets_share_a_list(share):
+    rng = np.random.default_rng(1)
+    scheme = setjoin.Scheme(share)
+    num, den = share
+    with np.errstate(over="ignore"):
+        for _ in range(600):
+            n = int(rng.integers(1, 400))
+            pool = rng.integers(0, 2**63, 2 * n + 4).astype(np.uint64)
+            # As far apart as a link allows: common elements, and what each has by itself.
+            common = pool[:n]
+            apart = n * (den - num) // num
+            mine = int(rng.integers(0, apart + 1))
+            a, b = np.unique(np.append(common, pool[n : n + mine])), np.unique(np.append(common, pool[n + mine : n + apart]))
+            both = len(np.intersect1d(a, b))
+            assert den * both >= num * (len(a) + len(b) - both)
+            assert set(scheme.list_keys(a).tolist()) & set(scheme.list_keys(b).tolist())
+
+
+def test_lists_leave_out_small_blocks():
+    """Texts that share a passage alone meet in few lists."""
+    rng = np.random.default_rng(2)
+    scheme = setjoin.Scheme((80, 100))
+    with np.errstate(over="ignore"):
+        passage = rng.integers(0, 2**63, 46).astype(np.uint64)
+        keys = [set(scheme.list_keys(np.unique(np.append(passage, rng.integers(0, 2**63, 250).astype(np.uint64)))).tolist()) for _ in range(60)]
+    meetings = sum(len(a & b) for i, a in enumerate(keys) for b in keys[:i])
+    assert meetings < 0.5 * 60 * 59 / 2
