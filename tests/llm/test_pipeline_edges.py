@@ -34,7 +34,7 @@ def good():
 def test_odd_rows_through_all_stages(spark, docs_of, odd, good, tmp_path):
     rows = [*odd, *good.items(), (102, good[102]), (None, good[103] + " tail"), (300, good[104]), (301, "mail me@x.org " + good[105][50:])]
     docs = clash(docs_of(rows).repartition(3))
-    sf = written(spark, tmp_path, docs, [(100, 1, 0), (101, 0, 1), (102, None, None), (None, 1, 1), (999, 1, 0)])
+    sf = written(spark, tmp_path, docs, [(k, 1, 0) for k in good] + [(102, None, None), (None, 1, 0), (999, 1, 1)])
     read = spark.read.parquet(f"{sf}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         kept = stage(spark, read, sf)
