@@ -17,6 +17,7 @@ Defined cases: a null text is empty; null keys come first and are stored under t
 text and told apart by their ordinal; an empty table gives a store without documents.
 """
 
+import hashlib
 import uuid
 
 import numpy as np
@@ -134,6 +135,8 @@ def write(docs, path, tokenizer_json, key="doc_id", text="text", shards=None):
     """Encode, append ``END_ID`` to each document, write the store; returns the number of index parts."""
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(tokenizer_json)
+    # A worker that encoded with another tokenizer before must not keep its encoder.
+    version = hashlib.sha256(tokenizer_json.encode("utf-8")).hexdigest()
     rows = keyed_text(docs, key, text).withColumn("key", F.coalesce("doc_id", F.lit(LEAST_LONG)))
     shards = shards or 4 * partitions(spark)
     dealt = (
@@ -149,7 +152,7 @@ def write(docs, path, tokenizer_json, key="doc_id", text="text", shards=None):
         wide = "<u2" if _vocabulary(tokenizer_json) <= 1 << 16 else "<u4"
 
     def save(arrow):
-        encoder = once_per_worker("word encoder", lambda: WordEncoder(model.value))
+        encoder = once_per_worker("word encoder", lambda: WordEncoder(model.value), version)
         end = END_ID.to_bytes(4, "little")
         shard, out, offset, last, ordinal = None, None, 0, None, 0
         try:

@@ -10,6 +10,7 @@ Defined cases: a null or empty text is one end id; a null key stays null; repeat
 """
 
 import bisect
+import hashlib
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -126,9 +127,11 @@ def pack(docs, tokenizer_json, key="doc_id", text="text", window=WINDOW, open_wi
     """
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(tokenizer_json)
+    # A worker that encoded with another tokenizer before must not keep its encoder.
+    version = hashlib.sha256(tokenizer_json.encode("utf-8")).hexdigest()
 
     def first(arrow):
-        encoder = once_per_worker("word encoder", lambda: WordEncoder(model.value))
+        encoder = once_per_worker("word encoder", lambda: WordEncoder(model.value), version)
         task = TaskContext.get().partitionId()
 
         def pieces():

@@ -197,3 +197,24 @@ def test_store_of_a_wide_vocabulary(spark, docs_of):
     docs, path = docs_of(list(texts.items())), scratch_path(spark, "wide-store")
     got = idstore.contents(spark, path, docs, idstore.write(docs, path, text)).collect()
     assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in got} == want
+
+
+def test_a_second_tokenizer_is_not_served_by_the_first(spark, docs_of):
+    """A reused worker that encoded with one tokenizer encodes with the next one given, in the store and in packing."""
+    import json
+
+    swapped = json.loads(WORDS)
+    vocabulary = swapped["model"]["vocab"]
+    a, b = "the</w>", "of</w>"
+    vocabulary[a], vocabulary[b] = vocabulary[b], vocabulary[a]
+    other = json.dumps(swapped)
+    texts = {1: "the of the", 2: "of the of"}
+    docs = docs_of(list(texts.items())).coalesce(1)
+    for model in (WORDS, other):
+        whole = Tokenizer.from_str(model)
+        want = {i: [*whole.encode(t, add_special_tokens=False).ids, 1] for i, t in texts.items()}
+        path = scratch_path(spark, "second-store")
+        got = idstore.contents(spark, path, docs, idstore.write(docs, path, model)).collect()
+        assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in got} == want
+        pieces = packing.pack(docs, model).collect()
+        assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in pieces} == want
