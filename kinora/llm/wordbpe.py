@@ -14,7 +14,8 @@ ODD_SPACE = regex.compile("[\x1c-\x1f]")
 #: Words for which lower() and the split below equal the tokenizer's own (no combining marks, no special casing).
 PLAIN = regex.compile("[\x21-įı-ɏ]+")
 #: Words that an encoder keeps, twice at most: a younger generation, and the one before it, whose used words move on.
-MAX_CACHED_WORDS = 300_000
+#: Each Python worker holds one encoder; 300,000 words a generation took about 360 MB a worker once full.
+MAX_CACHED_WORDS = 50_000
 #: Words that one call of the merge model gets.
 CHUNK = 2_000
 

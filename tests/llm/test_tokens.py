@@ -218,3 +218,16 @@ def test_a_second_tokenizer_is_not_served_by_the_first(spark, docs_of):
         assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in got} == want
         pieces = packing.pack(docs, model).collect()
         assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in pieces} == want
+
+
+def test_word_cache_stays_small_on_many_distinct_words(whole):
+    """Every Python worker keeps an encoder: its words stay bounded however many distinct words its texts hold."""
+    encoder = WordEncoder(WORDS)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = []
+    for call in range(12):
+        words = ["".join(letters[(n // 26**k) % 26] for k in range(5)) for n in range(call * 15_000, (call + 1) * 15_000)]
+        texts = [" ".join(words[at : at + 100]) for at in range(0, len(words), 100)]
+        got = encoder.payloads(texts)
+        assert len(encoder.words) + len(encoder.old) <= 150_000
+    assert [np.frombuffer(g, "<u4").tolist() + [1] for g in got[:20]] == [whole(t) for t in texts[:20]]
